@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from pagelarder.schema import FEED_KEYS, FIELDS, RECIPES
 
+Hook = Callable[[DataFrame], DataFrame]
+
 
 def record(fields: dict[str, Column], lost: list[tuple[str, Column]]) -> Column:
     """One struct with every record column, `absent_keys` and the `reason` a page is lost.
@@ -32,9 +35,10 @@ def record(fields: dict[str, Column], lost: list[tuple[str, Column]]) -> Column:
     )
 
 
-def recipes(extracted: DataFrame) -> DataFrame:
-    """The records: pages that are not lost."""
-    return extracted.filter(F.col("reason").isNull()).select(*RECIPES.names)
+def recipes(extracted: DataFrame, hooks: Iterable[Hook] = ()) -> DataFrame:
+    """The records: pages that are not lost, passed through each hook in turn."""
+    kept = extracted.filter(F.col("reason").isNull()).select(*RECIPES.names)
+    return reduce(DataFrame.transform, hooks, kept)
 
 
 def rejects(extracted: DataFrame) -> DataFrame:
