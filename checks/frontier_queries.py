@@ -295,9 +295,8 @@ FROM documents JOIN labels USING (doc_id)"""
 
 def pages_until_empty(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "event_type")
-    return frontier.pages_until_empty(
-        events, ["user_id"], "event_id", F.col("event_type") == "error"
-    )
+    empty = events.filter("event_type = 'error'")
+    return frontier.pages_until_empty(events, empty, ["user_id"], "event_id")
 
 
 PAGES_UNTIL_EMPTY_SQL = """SELECT user_id, event_id, event_type FROM events QUALIFY coalesce(max((event_type = 'error')::INT)

@@ -11,6 +11,7 @@ from checks.render import NAME_PREFIXES, PREFIXES, SUFFIXES, phrase, pick
 from pagelarder.functions import lists, text
 from pagelarder.functions import phrase as phrases
 from pagelarder.functions.unicode import nfkd
+from pagelarder.session import spread
 
 LINES_SQL = (
     "lines AS (SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line, "
@@ -22,9 +23,12 @@ PHRASE_SQL = (
 )
 
 
+def all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return documents.select(
+    return all_documents(spark, sf_dir).select(
         "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("i", "line")
     )
 
@@ -100,7 +104,7 @@ AS concatenated FROM lines"""
 
 
 def clean_text_blocks(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = all_documents(spark, sf_dir)
     broken = F.replace("text", F.lit(". "), F.lit(" . \x85\t \r\n"))
     blanks = F.flatten(F.transform(
         F.split("text", "\n"),
@@ -191,7 +195,7 @@ value IN ('vegetariana', 'vegan', 'e') AS exact FROM v"""
 
 
 def list_positions(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = all_documents(spark, sf_dir)
     items = F.col("items")
     return documents.select("doc_id", F.split("text", "\n").alias("items")).select(
         "doc_id",
@@ -211,7 +215,7 @@ array_to_string(CASE WHEN len(lines) >= 5 THEN lines[5:6] WHEN len(lines) >= 2 T
 
 
 def indexed_maps(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = all_documents(spark, sf_dir)
     as_json = F.to_json(lists.indexed_map(F.split("text", " ")))
     back = F.from_json("json", "map<string,string>")
     return documents.select("doc_id", as_json.alias("json")).select(
@@ -226,7 +230,7 @@ FROM documents"""
 
 
 def unicode_nfkd(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = all_documents(spark, sf_dir)
     return documents.select("doc_id", nfkd(F.concat(F.lit("½ªﬁ "), "text")).alias("text"))
 
 

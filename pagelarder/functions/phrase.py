@@ -28,21 +28,20 @@ def ingredient_name(phrase: Column, units: tuple[str, ...]) -> Column:
     leading amounts and units go (a word that starts with a digit or with ".digit", or
     equals a unit in any case), then one leading "de", "d" or "e".
 
-    The words are joined by single spaces first, so one anchored pattern eats all leading
-    units. Its loop is possessive: that keeps it linear and free of recursion on long lines.
+    The words are joined by single spaces first, so one anchored pattern finds the name. Its
+    unit loop is possessive: that keeps it linear and free of recursion on long lines.
     """
     unit = "|".join(re.escape(u) for u in units)
-    leading_units = rf"(?iu)^(?:(?:[.]?[0-9][^ ]*|{unit})(?: |$))*+"
+    name_in = rf"(?s)^(?:(?iu:[.]?[0-9][^ ]*|{unit})(?: |$))*+(?:(?:de|d|e)(?: |$))?(.*)$"
 
     def name(w: Column) -> Column:
         mark = F.array_position(w, TO_TASTE).cast("int")
-        rest = F.regexp_replace(F.array_join(w, " "), leading_units, "")
         return F.when(
             mark > 0,
             F.array_join(
                 F.concat(F.slice(w, F.lit(1), mark - 1), F.slice(w, mark + 1, F.size(w))), " "
             ),
-        ).otherwise(F.regexp_replace(rest, r"^(?:de|d|e)(?: |$)", ""))
+        ).otherwise(F.regexp_extract(F.array_join(w, " "), name_in, 1))
 
     return let(words(phrase), name)
 

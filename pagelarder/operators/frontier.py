@@ -80,12 +80,12 @@ def category_urls(pages: DataFrame) -> DataFrame:
     )
 
 
-def listing_urls(runs: DataFrame) -> DataFrame:
+def listing_urls(runs: DataFrame, specs: list[SourceSpec] | None = None) -> DataFrame:
     """Every listing page the runs expect: (source, category, page, url)."""
     spark = runs.sparkSession
     columns = ["source", "category", "page", "url"]
     by_category = F.col("source") == vaqueiro.SPEC.name
-    plain = seed_urls(runs.filter(~by_category), template_table(spark))
+    plain = seed_urls(runs.filter(~by_category), template_table(spark, specs))
     categories = category_pages(runs.filter(by_category), category_table(spark))
     return plain.select(columns).unionByName(category_urls(categories).select(columns))
 
@@ -103,18 +103,18 @@ def page_windows(windows: DataFrame, keep_empty: bool = False) -> DataFrame:
     )
 
 
-def pages_until_empty(listings: DataFrame, run: list[str], page: str, empty: Column) -> DataFrame:
+def pages_until_empty(
+    listings: DataFrame, empty: DataFrame, run: list[str], page: str, few_runs: bool = False
+) -> DataFrame:
     """Listing pages of each run before its first empty page.
 
-    The cut is one aggregated row per run joined back, not a window: the pages of a run never
-    meet in one task, and the join splits a run that holds a large share of the rows.
+    `empty` holds the empty pages. The cut is one aggregated row per run joined back, not a
+    window: the pages of a run never meet in one task. With `few_runs` the runs are a fixed
+    set, such as the registered sources, and the cuts are broadcast. Otherwise the join is
+    adaptive and splits a run that holds a large share of the rows.
     """
-    cuts = (
-        listings.filter(empty)
-        .groupBy(*run)
-        .agg(F.min(page).alias("_cut"))
-    )
-    kept = listings.join(cuts, run, "left")
+    cuts = empty.groupBy(*run).agg(F.min(page).alias("_cut"))
+    kept = listings.join(F.broadcast(cuts) if few_runs else cuts, run, "left")
     return kept.filter(F.col("_cut").isNull() | (F.col(page) < F.col("_cut"))).drop("_cut")
 
 
@@ -146,16 +146,12 @@ def delta(links: DataFrame, done: DataFrame, enabled: bool = False) -> DataFrame
 
 
 def first_copies(pages: DataFrame) -> DataFrame:
-    """(url_key, page_id, url): the first stored copy of each URL.
+    """(url_key, page_id): the first stored copy of each URL.
 
     Reads `page_id` and `url` only. Copies collapse before the shuffle.
     """
-    return (
-        pages.select(url_key(F.col("url")).alias("url_key"), "page_id", "url")
-        .groupBy("url_key")
-        .agg(F.min(F.struct("page_id", "url")).alias("_first"))
-        .select("url_key", "_first.page_id", "_first.url")
-    )
+    keys = pages.select(url_key(F.col("url")).alias("url_key"), "page_id")
+    return keys.groupBy("url_key").agg(F.min("page_id").alias("page_id"))
 
 
 def missing_listings(expected: DataFrame, pages: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +20,13 @@ def _listing_prefixes(spec: SourceSpec) -> list[str]:
 
 
 def _starts_with_any(url: Column, prefixes: list[str]) -> Column:
-    hit = url.startswith(prefixes[0])
-    for prefix in prefixes[1:]:
-        hit = hit | url.startswith(prefix)
-    return hit
+    return reduce(Column.__or__, [url.startswith(p) for p in prefixes], F.lit(False))
+
+
+def is_listing(url: Column, specs: list[SourceSpec] | None = None) -> Column:
+    """Is this the address of a listing page? A test that scans can push down."""
+    specs = registered_sources() if specs is None else specs
+    return _starts_with_any(url, [p for s in specs for p in _listing_prefixes(s)])
 
 
 def route(pages: DataFrame, specs: list[SourceSpec] | None = None) -> DataFrame:
@@ -60,15 +65,15 @@ def allowed_recipe(url: Column, source: Column, specs: list[SourceSpec] | None =
 def discovered(pages: DataFrame, links: DataFrame, carry: list[str]) -> DataFrame:
     """Ids of the pages that `links` (unique per `url_key`) name, with columns of the link.
 
-    Works on (page_id, url) only. Both sides have one row per key, so no key is skewed.
+    Works on ids and keys only. Both sides have one row per key, so no key is skewed.
     """
     return first_copies(pages).join(links.select("url_key", *carry), "url_key").drop("url_key")
 
 
 def fetch(pages: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Bodies of the chosen pages, by page id.
+    """URL and body of the chosen pages, by page id.
 
     This is the one join that touches page bodies. Ids are unique, hence evenly spread. A
     snapshot bucketed by page id (`save_snapshot`) is joined without moving the bodies.
     """
-    return pages.select("page_id", "html").join(chosen, "page_id")
+    return pages.select("page_id", "url", "html").join(chosen, "page_id")

@@ -18,6 +18,7 @@ import html as html_entities
 import re
 import sys
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -47,7 +48,7 @@ NODES = T.ArrayType(NODE)
 # the number of pages. A single page is never split.
 _NODES_PER_BATCH = 50_000
 
-_TOKEN = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)(>?)|!--|[!?])")
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(
     r"[\s/]*([^\s=>/][^\s=>/]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?"
 )
@@ -98,144 +99,176 @@ _RANK = {
 }
 
 
+class _StartTag:
+    """A start tag as written. Pages repeat few distinct ones, so they are parsed once."""
+
+    __slots__ = ("tag", "cls", "classes", "attrs", "empty", "ends", "leaves_head", "raw_text")
+
+    def __init__(self, name: str, attrs: dict[str, str], self_closed: bool):
+        self.tag = tag = name.lower()
+        self.cls = attrs.get("class")
+        self.classes = [t for t in _CLASS_GAP.split(self.cls or "") if t]
+        self.attrs = list(attrs.items())
+        self.empty = self_closed or tag in _VOID
+        self.ends = _ENDS.get(tag, ())
+        self.leaves_head = tag not in _HEAD_CONTENT
+        self.raw_text = (
+            re.compile(rf"</{tag}(?![^\s/>])", re.I) if tag in _RAW_TEXT else None
+        )
+
+
+def _start_tag(page: str, pos: int) -> tuple[_StartTag, int]:
+    """Parse the start tag whose name begins at `pos`; also gives the position after it."""
+    name = _TAG_NAME.match(page, pos)
+    attrs: dict[str, str] = {}
+    pos = name.end()
+    while match := _ATTRIBUTE.match(page, pos):
+        key, *values = match.groups()
+        value = next((v for v in values if v is not None), "")
+        attrs.setdefault(key.lower(), html_entities.unescape(value) if "&" in value else value)
+        pos = match.end()
+    rest = _TAG_END.match(page, pos)
+    return _StartTag(name[0], attrs, rest[0].endswith("/>")), rest.end()
+
+
 class _Nodes:
-    """Column buffers of the nodes of one output batch."""
+    """Column buffers of the nodes of one output batch. Text nodes have no start tag."""
 
     def __init__(self) -> None:
         self.sizes: list[int] = []
         self.end: list[int] = []
         self.parent: list[int] = []
         self.depth: list[int] = []
-        self.tag: list[str | None] = []
-        self.cls: list[str | None] = []
-        self.attrs: list[list[tuple[str, str]] | None] = []
+        self.tags: list[_StartTag | None] = []
         self.text: list[str | None] = []
+        self._known: dict[str, _StartTag] = {}
 
     def __len__(self) -> int:
-        return len(self.tag)
+        return len(self.tags)
 
     def add_page(self, page: str) -> None:
-        base = len(self.tag)
-        open_at: list[int] = []  # positions of the open elements
-        open_tags: list[str] = []
+        base = len(self.tags)
+        open_at = [-1]  # positions of the open elements, below an outermost "no parent"
+        open_tags = [""]
         pending: list[str] = []  # text since the last node boundary
+        known = self._known
 
-        def add(tag, cls, attrs, text):
-            self.tag.append(tag)
-            self.cls.append(cls)
-            self.attrs.append(attrs)
+        def add(tag: _StartTag | None, text: str | None) -> int:
+            at = len(self.tags) - base
+            self.tags.append(tag)
             self.text.append(text)
-            self.parent.append(open_at[-1] if open_at else -1)
-            self.depth.append(len(open_at))
-            self.end.append(len(self.tag) - 1 - base)
+            self.parent.append(open_at[-1])
+            self.depth.append(len(open_at) - 1)
+            self.end.append(at)
+            return at
 
-        def flush():
+        def flush() -> None:
             text = "".join(pending)
             pending.clear()
             if text:
-                add(None, None, None, text)
+                add(None, text)
 
-        def close(keep):
+        def close(keep: int) -> None:
             if pending:
                 flush()
-            last = len(self.tag) - 1 - base
-            for at in open_at[keep:]:
-                self.end[base + at] = last
-            del open_at[keep:], open_tags[keep:]
+            last = len(self.tags) - 1 - base
+            while len(open_at) > keep:
+                self.end[base + open_at.pop()] = last
+                open_tags.pop()
 
         pos, size = 0, len(page)
         while pos < size:
-            token = _TOKEN.search(page, pos)
-            stop = token.start() if token else size
+            at = page.find("<", pos)
+            stop = size if at < 0 else at
             if stop > pos:
                 run = page[pos:stop]
                 pending.append(html_entities.unescape(run) if "&" in run else run)
-            if not token:
+            if at < 0:
                 break
-            pos = token.end()
-            tag = token[2]
-            if tag is None:  # comment, doctype, processing instruction
-                if pending:
-                    flush()
-                mark = "-->" if token[0] == "<!--" else ">"
-                found = page.find(mark, pos)
-                pos = size if found < 0 else found + len(mark)
-                continue
-            tag = tag.lower()
-            if token[1]:  # end tag
-                if not token[3]:
-                    pos = _TAG_END.match(page, pos).end()
+            lead = page[at + 1 : at + 2]
+            after = page.find(">", at) + 1 or size
+            if lead == "/":
+                pos = after
+                if page[at + 2 : after - 1] == open_tags[-1]:  # the usual case
+                    close(len(open_tags) - 1)
+                    continue
+                name = _TAG_NAME.match(page, at + 2)
+                if name is None:
+                    continue
+                tag = name[0].lower()
                 rank = _RANK.get(tag, 0)
-                for i in range(len(open_tags) - 1, -1, -1):
+                for i in range(len(open_tags) - 1, 0, -1):
                     if open_tags[i] == tag:
                         close(i)
                         break
                     if _RANK.get(open_tags[i], 0) > rank:
                         break
-                continue
-            pairs: dict[str, str] = {}
-            closed = tag in _VOID
-            if not token[3]:
-                while match := _ATTRIBUTE.match(page, pos):
-                    name, *values = match.groups()
-                    value = next((v for v in values if v is not None), "")
-                    pairs.setdefault(
-                        name.lower(), html_entities.unescape(value) if "&" in value else value
-                    )
-                    pos = match.end()
-                rest = _TAG_END.match(page, pos)
-                closed = closed or rest[0].endswith("/>")
-                pos = rest.end()
-            ends = _ENDS.get(tag, ())
-            keep = len(open_tags)
-            while keep and open_tags[keep - 1] in ends:
-                keep -= 1
-            if keep and open_tags[keep - 1] == "head" and tag not in _HEAD_CONTENT:
-                keep -= 1
-            if keep < len(open_tags):
-                close(keep)
-            elif pending:
-                flush()
-            add(tag, pairs.get("class"), list(pairs.items()), None)
-            if closed:
-                continue
-            open_at.append(len(self.tag) - 1 - base)
-            open_tags.append(tag)
-            if tag in _RAW_TEXT:
-                found = re.compile(rf"</{tag}(?![^\s/>])", re.I).search(page, pos)
-                stop = found.start() if found else size
-                pending.append(page[pos:stop])
-                pos = stop
-        close(0)
-        self.sizes.append(len(self.tag) - base)
+            elif lead.isascii() and lead.isalpha():
+                written = page[at + 1 : after]
+                start = known.get(written)
+                if start is None:
+                    start, pos = _start_tag(page, at + 1)
+                    # A ">" inside quotes ends `written` early; such a tag is not remembered.
+                    if pos == after:
+                        known[written] = start
+                else:
+                    pos = after
+                keep = len(open_tags)
+                while open_tags[keep - 1] in start.ends:
+                    keep -= 1
+                if start.leaves_head and open_tags[keep - 1] == "head":
+                    keep -= 1
+                if keep < len(open_tags):
+                    close(keep)
+                elif pending:
+                    flush()
+                element = add(start, None)
+                if start.empty:
+                    continue
+                open_at.append(element)
+                open_tags.append(start.tag)
+                if start.raw_text:
+                    found = start.raw_text.search(page, pos)
+                    stop = found.start() if found else size
+                    pending.append(page[pos:stop])
+                    pos = stop
+            elif lead in ("!", "?"):  # comment, doctype, processing instruction
+                if pending:
+                    flush()
+                if page.startswith("<!--", at):
+                    found = page.find("-->", at + 4)
+                    pos = size if found < 0 else found + 3
+                else:
+                    pos = after
+            else:
+                pending.append("<")
+                pos = at + 1
+        close(1)
+        self.sizes.append(len(self.tags) - base)
 
     def to_arrow(self) -> pa.Array:
         def offsets(counts):
-            total, out = 0, [0]
-            for n in counts:
-                total += n
-                out.append(total)
-            return pa.array(out, pa.int32())
-
-        tokens = [
-            [t for t in _CLASS_GAP.split(c) if t] if c is not None else [] for c in self.cls
-        ]
-        pairs = [a or [] for a in self.attrs]
+            return pa.array([0, *accumulate(counts)], pa.int32())
+
+        none: list = []
+        tags = self.tags
+        classes = [t.classes if t else none for t in tags]
+        pairs = [t.attrs if t else none for t in tags]
         columns = {
             "pre": pa.array([i for n in self.sizes for i in range(n)], pa.int32()),
             "end": pa.array(self.end, pa.int32()),
             "parent": pa.array(self.parent, pa.int32()),
             "depth": pa.array(self.depth, pa.int32()),
-            "kind": pa.array(["t" if t is None else "e" for t in self.tag], pa.string()),
-            "tag": pa.array(self.tag, pa.string()),
-            "cls": pa.array(self.cls, pa.string()),
+            "kind": pa.array(["e" if t else "t" for t in tags], pa.string()),
+            "tag": pa.array([t.tag if t else None for t in tags], pa.string()),
+            "cls": pa.array([t.cls if t else None for t in tags], pa.string()),
             "classes": pa.ListArray.from_arrays(
-                offsets(map(len, tokens)), pa.array([t for ts in tokens for t in ts], pa.string())
+                offsets(map(len, classes)), pa.array([c for cs in classes for c in cs], pa.string())
             ),
             "attrs": pa.MapArray.from_arrays(
                 offsets(map(len, pairs)),
-                pa.array([k for p in pairs for k, _ in p], pa.string()),
-                pa.array([v for p in pairs for _, v in p], pa.string()),
+                pa.array([k for ps in pairs for k, _ in ps], pa.string()),
+                pa.array([v for ps in pairs for _, v in ps], pa.string()),
             ),
             "text": pa.array(self.text, pa.string()),
         }

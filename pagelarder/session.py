@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.files.maxPartitionBytes": "64m",
+    # Bodies are joined to narrow id tables: build a hash table of the ids where the planner
+    # finds it small enough, rather than sort the bodies.
+    "spark.sql.join.preferSortMergeJoin": "false",
     "spark.sql.session.timeZone": "UTC",
     # Recording the Python call site of every expression doubles the time to build one.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -45,6 +48,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key)
 
 
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: computed once, of known size."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder that the session names in spark.checkpoint.dir.
 
