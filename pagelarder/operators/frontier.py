@@ -7,6 +7,8 @@ half of all listings link to costs no more than any other.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +92,15 @@ def listing_urls(runs: DataFrame, specs: list[SourceSpec] | None = None) -> Data
     return plain.select(columns).unionByName(category_urls(categories).select(columns))
 
 
+def is_listing(url: Column, specs: list[SourceSpec] | None = None) -> Column:
+    """Is this the address of a listing page? A test that scans can push down."""
+    specs = registered_sources() if specs is None else specs
+    prefixes = [t.split("%s")[0] for s in specs for t in s.listings]
+    if vaqueiro.SPEC in specs:
+        prefixes.append(vaqueiro.LISTING)
+    return reduce(Column.__or__, [url.startswith(p) for p in prefixes], F.lit(False))
+
+
 def page_windows(windows: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Cut start..total into windows of `inc` pages, the last one clamped.
 
@@ -154,8 +165,11 @@ def first_copies(pages: DataFrame) -> DataFrame:
     return keys.groupBy("url_key").agg(F.min("page_id").alias("page_id"))
 
 
-def missing_listings(expected: DataFrame, pages: DataFrame) -> DataFrame:
-    """Expected listing pages that the snapshot does not hold."""
-    keys = pages.select(url_key(F.col("url")).alias("url_key"))
+def missing_listings(
+    expected: DataFrame, pages: DataFrame, specs: list[SourceSpec] | None = None
+) -> DataFrame:
+    """Expected listing pages that the snapshot does not hold. Only listings are compared."""
+    listings = pages.filter(is_listing(F.col("url"), specs))
+    keys = listings.select(url_key(F.col("url")).alias("url_key"))
     with_key = expected.withColumn("url_key", url_key(F.col("url")))
     return with_key.join(keys, "url_key", "left_anti").drop("url_key")

@@ -2,33 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelarder.operators.frontier import first_copies
-from pagelarder.sources import vaqueiro
+from pagelarder.operators.frontier import first_copies, is_listing
 from pagelarder.sources.spec import SourceSpec, registered_sources
 
 RECIPE, LISTING, OTHER = "recipe", "listing", "other"
 
 
-def _listing_prefixes(spec: SourceSpec) -> list[str]:
-    prefixes = [t.split("%s")[0] for t in spec.listings]
-    return prefixes + ([vaqueiro.LISTING] if spec.name == vaqueiro.SPEC.name else [])
-
-
-def _starts_with_any(url: Column, prefixes: list[str]) -> Column:
-    return reduce(Column.__or__, [url.startswith(p) for p in prefixes], F.lit(False))
-
-
-def is_listing(url: Column, specs: list[SourceSpec] | None = None) -> Column:
-    """Is this the address of a listing page? A test that scans can push down."""
-    specs = registered_sources() if specs is None else specs
-    return _starts_with_any(url, [p for s in specs for p in _listing_prefixes(s)])
-
-
 def route(pages: DataFrame, specs: list[SourceSpec] | None = None) -> DataFrame:
     """Add `source` and `kind` from the URL alone.
 
@@ -39,11 +21,7 @@ def route(pages: DataFrame, specs: list[SourceSpec] | None = None) -> DataFrame:
     specs = registered_sources() if specs is None else specs
     url = F.col("url")
     rules = [(url.startswith(s.recipe_prefix), s.name, RECIPE) for s in specs if s.recipe_prefix]
-    rules += [
-        (_starts_with_any(url, prefixes), s.name, LISTING)
-        for s in specs
-        if (prefixes := _listing_prefixes(s))
-    ]
+    rules += [(is_listing(url, [s]), s.name, LISTING) for s in specs]
     routed = F.struct(F.lit(None).cast("string").alias("source"), F.lit(OTHER).alias("kind"))
     for condition, source, kind in reversed(rules):
         routed = F.when(

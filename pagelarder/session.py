@@ -35,8 +35,16 @@ def build_session(app: str = "pagelarder", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
+def partitions_for(moved_bytes: int, cores: int, target: int = 128 << 20) -> int:
+    """Shuffle partitions that keep what one task receives near the target size.
+
+    Count the bytes that move: keys and links for a bucketed snapshot, bodies otherwise.
+    """
+    return max(cores, -(-moved_bytes // target))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core work when the input has fewer splits than there are cores.
+    """Give every core work when a scanned input has fewer splits than there are cores.
 
     That is the case only for inputs of less than one split per core, so what is shuffled is
     bounded by cores x split size. Larger inputs are returned as they are: their pages are
