@@ -150,6 +150,7 @@ class _Nodes:
         base = len(self.tags)
         open_at = [-1]  # positions of the open elements, below an outermost "no parent"
         open_tags = [""]
+        open_count: dict[str, int] = {}  # by tag, so that a stray end tag costs no search
         pending: list[str] = []  # text since the last node boundary
         known = self._known
 
@@ -174,9 +175,9 @@ class _Nodes:
             last = len(self.tags) - 1 - base
             while len(open_at) > keep:
                 self.end[base + open_at.pop()] = last
-                open_tags.pop()
+                open_count[open_tags.pop()] -= 1
 
-        pos, size = 0, len(page)
+        pos, size, after = 0, len(page), 0
         while pos < size:
             at = page.find("<", pos)
             stop = size if at < 0 else at
@@ -186,7 +187,8 @@ class _Nodes:
             if at < 0:
                 break
             lead = page[at + 1 : at + 2]
-            after = page.find(">", at) + 1 or size
+            if after <= at:  # past the next ">"; looked up once, however many "<" precede it
+                after = page.find(">", at) + 1 or size
             if lead == "/":
                 pos = after
                 if page[at + 2 : after - 1] == open_tags[-1]:  # the usual case
@@ -196,6 +198,8 @@ class _Nodes:
                 if name is None:
                     continue
                 tag = name[0].lower()
+                if not open_count.get(tag):
+                    continue
                 rank = _RANK.get(tag, 0)
                 for i in range(len(open_tags) - 1, 0, -1):
                     if open_tags[i] == tag:
@@ -227,6 +231,7 @@ class _Nodes:
                     continue
                 open_at.append(element)
                 open_tags.append(start.tag)
+                open_count[start.tag] = open_count.get(start.tag, 0) + 1
                 if start.raw_text:
                     found = start.raw_text.search(page, pos)
                     stop = found.start() if found else size

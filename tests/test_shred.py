@@ -89,6 +89,8 @@ def test_same_tag_written_alike_keeps_its_own_attributes():
 def test_adversarial_sizes_stay_linear():
     assert len(nodes_of("<div>" * 20_000)) == 20_000
     assert len(nodes_of("<a b='" * 5_000)) > 0
+    assert len(nodes_of("<span>" * 30_000 + "</b></i>" * 30_000)) == 30_000
+    assert len(nodes_of("<b><span>" * 20_000 + "</b>" * 20_000)) == 40_000
     assert len(nodes_of("<" * 100_000)) == 1
     assert len(nodes_of("<!--" * 50_000)) == 0
 
