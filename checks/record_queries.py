@@ -9,7 +9,16 @@ from checks import expected as sql
 from checks.expected import SEP, lit
 from checks.page_queries import decoded, found_joined
 from checks.page_queries import pages as raw_pages
-from checks.render import CATEGORY_NAMES, SITES, pick, runs, stored_pages
+from checks.render import (
+    CATEGORY_NAMES,
+    EMPTY_EVERY,
+    PER_LISTING,
+    SITES,
+    pick,
+    recipe_url,
+    runs,
+    stored_pages,
+)
 from pagelarder.functions.lists import first
 from pagelarder.operators.conform import combine, recipes, rejects
 from pagelarder.operators.routing import RECIPE, route
@@ -102,8 +111,6 @@ RUN_RECORDS_SQL = (
 def _earlier(spark, sf_dir) -> DataFrame:
     """Documents with a good label count as extracted earlier, from every site."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
-    from checks.render import recipe_url
-
     return labels.select(F.explode(F.array(*[
         F.concat(recipe_url(s, F.col("doc_id")), F.lit("#again")) for s in SITES
     ])).alias("url"))
@@ -206,7 +213,7 @@ def incremental_run(spark, sf_dir):
 
 
 def incremental_sites(spark, sf_dir):
-    """Incremental run over all stored pages; prefix-routed sources give records."""
+    """Incremental run over all stored pages: recipes by their URL or by a listing's link."""
     folder, checkpoint = shared_folder(spark, "done"), shared_folder(spark, "checkpoint")
     stream = read_stream(spark, stored_pages(spark, sf_dir))
     start_incremental(stream, folder, checkpoint).awaitTermination()
@@ -214,8 +221,10 @@ def incremental_sites(spark, sf_dir):
 
 
 INCREMENTAL_SITES_SQL = (
-    f"WITH {sql.DOCS}, r AS ({sql.all_records(['pingo_doce', 'sabor_intenso', 'sapo_sabores'])}) "
-    f"SELECT {sql.COLUMNS} FROM r WHERE reason IS NULL"
+    f"WITH {sql.DOCS}, r AS ({sql.all_records(SITES)}) "
+    f"SELECT {sql.COLUMNS} FROM r WHERE reason IS NULL "
+    f"AND NOT (source = 'receitas_portugal' AND doc_id <> 0 "
+    f"AND (doc_id // {PER_LISTING} + 1) % {EMPTY_EVERY} = 0)"
 )
 
 

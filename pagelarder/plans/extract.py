@@ -61,6 +61,8 @@ def find_links(listings: DataFrame, specs: list[SourceSpec] | None = None) -> Da
     shredded but parsed in place.
     """
     specs = [s for s in (registered_sources() if specs is None else specs) if s.links]
+    if not specs:
+        raise ValueError("none of the sources says how its listings link to recipes")
     source = F.col("source")
     wrapped = [s.name for s in specs if s.links.body == JSON_HTML]
     plain_json = [s.name for s in specs if s.links.body == JSON]

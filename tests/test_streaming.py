@@ -11,10 +11,11 @@ from pagelarder.streaming.incremental import (
     append_batch,
     distinct_urls,
     read_done,
+    read_links,
     read_stream,
     start_incremental,
 )
-from tests.test_sources import INTENSO, PINGO, SAPO
+from tests.test_sources import INTENSO, PINGO, SAPO, VAQUEIRO
 
 LOST = PINGO.replace("instruction-body", "q")
 
@@ -71,6 +72,24 @@ def test_incremental_runs(spark, landing):
     assert read_done(spark, out).count() == count
 
 
+def test_pages_that_an_earlier_listing_links_to(spark, landing):
+    folder, land = landing
+    out, checkpoint = shared_folder(spark, "out"), shared_folder(spark, "checkpoint")
+
+    def run():
+        start_incremental(read_stream(spark, folder), out, checkpoint).awaitTermination()
+        return {(r.url, r.source, r.dish_type) for r in recipes(read_done(spark, out)).collect()}
+
+    listing = "https://www.vaqueiro.pt/Search/QueryService?category=1&StartIdx=0&EndIdx=11"
+    body = '{"bodydata":{"Results":[{"Url":"/receitas/x"},{"Url":"/receitas/y"}]}}'
+    site = "https://www.vaqueiro.pt/receitas/"
+    land((1, listing, body), (2, site + "x", VAQUEIRO), (3, site + "z", VAQUEIRO))
+    assert run() == {(site + "x", "vaqueiro", "sopas")}
+    land((4, site + "y", VAQUEIRO), (5, site + "x#2", VAQUEIRO), (6, listing, body))
+    assert run() == {(site + "x", "vaqueiro", "sopas"), (site + "y", "vaqueiro", "sopas")}
+    assert read_links(spark, out).count() == 2
+
+
 def test_distinct_urls_across_batches(spark, landing):
     folder, land = landing
     out, checkpoint = shared_folder(spark, "out"), shared_folder(spark, "checkpoint")
