@@ -28,7 +28,7 @@ DIMS, STRIDE, FILTERS, HIDDEN = 8, 4, 32, 16
 HALF = 256  # bytes of half a chunk
 WINDOWS = HALF // STRIDE
 BLOCK = 1 << 18  # bytes whose responses are held at once
-TRAIN_ROWS, TRAIN_BYTES, EPOCHS, BATCH = 3000, 16 << 10, 6, 32
+TRAIN_ROWS, TRAIN_BYTES, STEPS, BATCH = 3000, 16 << 10, 600, 32
 THRESHOLD = 0.3
 
 
@@ -160,18 +160,17 @@ def train(texts: list[str | None], labels: list[int], seed: int = 6) -> dict[str
     docs, y = [_excerpt(t) for t in texts], np.array(labels, np.float32)
     moment = {k: np.zeros_like(v) for k, v in w.items()}
     square = {k: np.zeros_like(v) for k, v in w.items()}
-    r, step, steps = np.random.default_rng(seed), 0, EPOCHS * -(-len(docs) // BATCH)
-    for _ in range(EPOCHS):
-        order = r.permutation(len(docs))
-        for at in range(0, len(order), BATCH):
-            some = order[at : at + BATCH]
-            step += 1
-            speed = 0.004 * (1 - step / (steps + 1))
-            for k, g in _loss_gradients(w, [docs[i] for i in some], y[some]).items():
-                moment[k] += 0.1 * (g - moment[k])
-                square[k] += 0.01 * (g * g - square[k])
-                size = np.sqrt(square[k] / (1 - 0.99**step)) + 1e-7
-                w[k] -= (speed * moment[k] / (1 - 0.9**step) / size).astype(np.float32)
+    r, order = np.random.default_rng(seed), np.empty(0, int)
+    for step in range(1, STEPS + 1):
+        if not len(order):
+            order = r.permutation(len(docs))
+        some, order = order[:BATCH], order[BATCH:]
+        speed = 0.004 * (1 - step / (STEPS + 1))
+        for k, g in _loss_gradients(w, [docs[i] for i in some], y[some]).items():
+            moment[k] += 0.1 * (g - moment[k])
+            square[k] += 0.01 * (g * g - square[k])
+            size = np.sqrt(square[k] / (1 - 0.99**step)) + 1e-7
+            w[k] -= (speed * moment[k] / (1 - 0.9**step) / size).astype(np.float32)
     return w
 
 
