@@ -140,6 +140,46 @@ UNION ALL SELECT p_partkey, true, w_start, w_end FROM a
 UNION ALL SELECT p_partkey, true, start, total FROM r WHERE start > total"""
 
 
+def run_rejects(spark, sf_dir):
+    """Runs that name no listing page: an unknown source or category, or no range."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    named = orders.select(
+        F.col("o_orderkey").cast("string").alias("run_id"),
+        pick(["pingo_doce", "nowhere", "vaqueiro"], F.col("o_orderkey")).alias("source"),
+        pick([CATEGORY_NAMES[0], "none"], F.col("o_custkey")).alias("category"),
+        F.when(F.col("o_custkey") % 7 == 0, "x").otherwise("1").alias("page_start"),
+        F.lit("3").alias("page_end"),
+    )
+    return frontier.run_rejects(named)
+
+
+RUN_REJECTS_SQL = f"""WITH runs AS (SELECT o_orderkey::VARCHAR AS run_id,
+{sql.pick(["pingo_doce", "nowhere", "vaqueiro"], 'o_orderkey')} AS source,
+{sql.pick([CATEGORY_NAMES[0], "none"], 'o_custkey')} AS category, o_custkey % 7 = 0 AS bad FROM orders)
+SELECT run_id, source, category, CASE WHEN source = 'nowhere' THEN 'unknown source'
+WHEN source = 'vaqueiro' AND category = 'none' THEN 'unknown category' WHEN bad THEN 'no page range' END AS reason
+FROM runs WHERE reason IS NOT NULL"""
+
+
+def url_keys(spark, sf_dir):
+    """Raw and encoded spellings of an address with the first word of each document."""
+    word = F.regexp_replace(F.regexp_extract("text", r"^[^ \n]+", 0), "[#?&%=+/~]", "")
+    encoded = F.url_encode(word)
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "doc_id",
+        url_key(F.concat(F.lit("HTTP://Ex.com/r/"), word, F.lit("?q="), word, F.lit("&a#f"))).alias("raw"),
+        url_key(F.concat(F.lit("http://ex.com/r/"), F.regexp_replace(encoded, "%C3", "%c3"), F.lit("?a=&q="), encoded)).alias("encoded"),
+        word.alias("word"),
+    )
+
+
+URL_KEYS_SQL = """WITH w AS (SELECT doc_id,
+regexp_replace(regexp_extract(text, '^[^ \\n]+'), '[#?&%=+/~]', '', 'g') AS word FROM documents),
+e AS (SELECT *, replace(url_encode(word), '%2A', '*') AS x FROM w)
+SELECT doc_id, word, 'http://ex.com/r/' || x || '?a=&q=' || x AS raw,
+'http://ex.com/r/' || x || '?a=&q=' || x AS encoded FROM e"""
+
+
 def missing_listings(spark, sf_dir):
     """Listing pages the runs expect and the stored pages do not have."""
     expected = frontier.listing_urls(runs(spark, sf_dir))
@@ -208,7 +248,7 @@ def _listing_links_sql() -> str:
         last = {
             # A rule gives each URL of a page once; so do the keys of a JSON object.
             "teleculinaria": "AND page > 1",
-            "receitas_portugal": f"AND page % {EMPTY_EVERY} <> 0",
+            "receitas_portugal": f"AND page > 1 AND page % {EMPTY_EVERY} <> 0",
         }
         before, after = RECIPE_URLS[s]
         after = "/#top" if s == "teleculinaria" else after
@@ -331,6 +371,8 @@ QUERIES = {
     "seed_urls_templates": (seed_urls_templates, _seed_sql(["sabor_intenso"])),
     "category_pages": (category_pages, CATEGORY_PAGES_SQL),
     "page_windows": (page_windows, PAGE_WINDOWS_SQL),
+    "run_rejects": (run_rejects, RUN_REJECTS_SQL),
+    "url_keys": (url_keys, URL_KEYS_SQL),
     "missing_listings": (missing_listings, MISSING_LISTINGS_SQL),
     "routed_pages": (routed_pages, _routed_sql()),
     "listing_links": (listing_links, _listing_links_sql()),

@@ -21,6 +21,7 @@ from checks.render import (
 )
 from pagelarder.functions.lists import first
 from pagelarder.operators.conform import combine, recipes, rejects
+from pagelarder.operators.frontier import page_windows
 from pagelarder.operators.routing import RECIPE, route
 from pagelarder.operators.select import Selection
 from pagelarder.plans.crawl import run
@@ -108,6 +109,42 @@ RUN_RECORDS_SQL = (
 )
 
 
+WINDOW_SITES = ["pingo_doce", "receitas_portugal", "sapo_sabores"]
+WINDOW = 3
+
+
+def run_windows(spark, sf_dir):
+    """Each site in windows of three listing pages, each a run of its own.
+
+    A window ends at its own first empty page only, and each run gives its own record of a
+    recipe that listing pages of several windows link to.
+    """
+    last = spark.read.parquet(f"{sf_dir}/documents.parquet").agg(
+        F.floor(F.max("doc_id") / PER_LISTING).cast("int").alias("total")
+    )
+    sites = last.select(
+        F.explode(F.array(*[F.lit(s) for s in WINDOW_SITES])).alias("source"),
+        F.lit(2).alias("start"), "total", F.lit(WINDOW).alias("inc"),
+    )
+    windows = page_windows(sites).select(
+        "source", F.col("w_start").cast("string").alias("page_start"),
+        F.col("w_end").cast("string").alias("page_end"), F.lit(None).cast("string").alias("category"),
+        F.concat_ws(":", "source", "w_start").alias("run_id"),
+    )
+    found = run(read_pages(spark, stored_pages(spark, sf_dir)), windows)
+    return found.filter(F.col("reason").isNull()).select("run_id", "source", "url", "name")
+
+
+RUN_WINDOWS_SQL = f"""WITH {sql.DOCS}, r AS ({sql.all_records(WINDOW_SITES)}),
+w AS (SELECT source, page, 2 + (page - 2) // {WINDOW} * {WINDOW} AS w_start
+FROM (SELECT DISTINCT doc_id // {PER_LISTING} + 1 AS page FROM documents), (SELECT unnest({WINDOW_SITES}) AS source)
+WHERE page BETWEEN 2 AND (SELECT max(doc_id) // {PER_LISTING} FROM documents)),
+seen AS (SELECT * FROM w WHERE source <> 'receitas_portugal' OR page // {EMPTY_EVERY} * {EMPTY_EVERY} < w_start),
+v AS (SELECT seen.source, w_start, doc_id FROM seen JOIN documents ON doc_id // {PER_LISTING} + 1 = page
+UNION SELECT source, w_start, 0 FROM seen)
+SELECT source || ':' || w_start AS run_id, source, url, name FROM v JOIN r USING (source, doc_id) WHERE reason IS NULL"""
+
+
 def _earlier(spark, sf_dir) -> DataFrame:
     """Documents with a good label count as extracted earlier, from every site."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
@@ -252,6 +289,7 @@ QUERIES = {
     "conformed_records": (conformed_records, CONFORMED_RECORDS_SQL),
     "rejected_pages": (rejected_pages, REJECTED_PAGES_SQL),
     "run_records": (run_records, RUN_RECORDS_SQL),
+    "run_windows": (run_windows, RUN_WINDOWS_SQL),
     "run_new_records": (run_new_records, RUN_NEW_RECORDS_SQL),
     "feed_round_trip": (feed_round_trip, CONFORMED_RECORDS_SQL),
     "job_parts": (job_parts, JOB_PARTS_SQL),

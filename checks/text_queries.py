@@ -11,7 +11,6 @@ from checks.render import NAME_PREFIXES, PREFIXES, SUFFIXES, phrase, pick
 from pagelarder.functions import lists, text
 from pagelarder.functions import phrase as phrases
 from pagelarder.functions.unicode import nfkd
-from pagelarder.session import spread
 
 LINES_SQL = (
     "lines AS (SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line, "
@@ -24,7 +23,7 @@ PHRASE_SQL = (
 
 
 def all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,12 +42,12 @@ def _pages(start: Column, end: Column) -> Column:
 def seed_urls(runs: DataFrame, templates: DataFrame) -> DataFrame:
     """One listing URL per run, template of its source and page of its inclusive range.
 
-    `templates` is broadcast: it is the table of registered templates, not data.
+    A run of an unknown source or without a range has no URL; see `run_rejects`.
     """
-    start, end = F.col("page_start").cast("int"), F.col("page_end").cast("int")
+    start, end = F.col("page_start").try_cast("int"), F.col("page_end").try_cast("int")
     return (
         runs.select("*", _pages(start, end).alias("page"))
-        .join(F.broadcast(templates), "source")
+        .join(templates, "source")
         .withColumn("url", F.replace("template", F.lit("%s"), F.col("page").cast("string")))
         .drop("template")
     )
@@ -57,13 +57,14 @@ def category_pages(runs: DataFrame, categories: DataFrame) -> DataFrame:
     """Listing pages of category runs with their item windows.
 
     The first page of a run is always visited; after it the run stops at `page_end` or at the
-    number of pages the category has. `categories` is broadcast: it is a fixed table.
+    number of pages the category has. A run of an unknown category or without a range has no
+    page; see `run_rejects`.
     """
-    start, end = F.col("page_start").cast("int"), F.col("page_end").cast("int")
-    last = F.greatest(start, F.least(end, F.col("max_pages").cast("int")))
+    start, end = F.col("page_start").try_cast("int"), F.col("page_end").try_cast("int")
+    last = F.when(end.isNotNull(), F.greatest(start, F.least(end, F.col("max_pages").cast("int"))))
     first_item = (F.col("page") - 1) * vaqueiro.WINDOW
     return (
-        runs.join(F.broadcast(categories), "category")
+        runs.join(categories, "category")
         .withColumn("page", F.explode(F.sequence(start, last)))
         .withColumn("start_idx", first_item)
         .withColumn("end_idx", first_item + (vaqueiro.WINDOW - 1))
@@ -82,10 +83,35 @@ def category_urls(pages: DataFrame) -> DataFrame:
     )
 
 
+def with_run_id(runs: DataFrame) -> DataFrame:
+    """Runs with a `run_id`; runs that have none are named after their source and range."""
+    if "run_id" in runs.columns:
+        return runs
+    parts = ["source", "category", "page_start", "page_end"]
+    return runs.withColumn("run_id", F.concat_ws("/", *[F.coalesce(c, F.lit("")) for c in parts]))
+
+
+def run_rejects(runs: DataFrame, specs: list[SourceSpec] | None = None) -> DataFrame:
+    """Runs that name no listing page, with the reason: (run_id, source, category, reason)."""
+    known = registered_sources() if specs is None else specs
+    by_category = F.col("source") == vaqueiro.SPEC.name
+    source = F.col("source").isin(*[s.name for s in known])
+    category = F.col("category").isin(*[c[0] for c in vaqueiro.CATEGORIES])
+    number = F.col("page_start").try_cast("int").isNotNull() & F.col("page_end").try_cast("int").isNotNull()
+    reason = (
+        F.when(~F.coalesce(source, F.lit(False)), "unknown source")
+        .when(by_category & ~F.coalesce(category, F.lit(False)), "unknown category")
+        .when(~number, "no page range")
+    )
+    rows = with_run_id(runs).select("run_id", "source", "category", reason.alias("reason"))
+    return rows.filter(F.col("reason").isNotNull())
+
+
 def listing_urls(runs: DataFrame, specs: list[SourceSpec] | None = None) -> DataFrame:
-    """Every listing page the runs expect: (source, category, page, url)."""
+    """Every listing page of every run: (run_id, source, category, page, url)."""
     spark = runs.sparkSession
-    columns = ["source", "category", "page", "url"]
+    runs = with_run_id(runs)
+    columns = ["run_id", "source", "category", "page", "url"]
     by_category = F.col("source") == vaqueiro.SPEC.name
     plain = seed_urls(runs.filter(~by_category), template_table(spark, specs))
     categories = category_pages(runs.filter(by_category), category_table(spark))
@@ -115,33 +141,32 @@ def page_windows(windows: DataFrame, keep_empty: bool = False) -> DataFrame:
 
 
 def pages_until_empty(
-    listings: DataFrame, empty: DataFrame, run: list[str], page: str, few_runs: bool = False
+    listings: DataFrame, empty: DataFrame, run: list[str], page: str
 ) -> DataFrame:
     """Listing pages of each run before its first empty page.
 
     `empty` holds the empty pages. The cut is one aggregated row per run joined back, not a
-    window: the pages of a run never meet in one task. With `few_runs` the runs are a fixed
-    set, such as the registered sources, and the cuts are broadcast. Otherwise the join is
-    adaptive and splits a run that holds a large share of the rows.
+    window: the pages of a run never meet in one task. The join is adaptive and splits a run
+    that holds a large share of the rows.
     """
     cuts = empty.groupBy(*run).agg(F.min(page).alias("_cut"))
-    kept = listings.join(F.broadcast(cuts) if few_runs else cuts, run, "left")
+    kept = listings.join(cuts, run, "left")
     return kept.filter(F.col("_cut").isNull() | (F.col(page) < F.col("_cut"))).drop("_cut")
 
 
-def dedup_links(links: DataFrame, order: list[str]) -> DataFrame:
-    """One link per URL key, the first one in `order`.
+def dedup_links(links: DataFrame, order: list[str], within: tuple[str, ...] = ()) -> DataFrame:
+    """One link per URL key, the first one in `order`; with `within`, one per key and group.
 
     A minimum per key is combined before the shuffle, so each task sends one row per key no
     matter how often a link is repeated.
     """
-    rest = [c for c in links.columns if c not in order]
+    rest = [c for c in links.columns if c not in (*order, *within)]
     first = F.min(F.struct(*order, *rest)).alias("_first")
     return (
         links.withColumn("url_key", url_key(F.col("url")))
-        .groupBy("url_key")
+        .groupBy(*within, "url_key")
         .agg(first)
-        .select("url_key", *[F.col("_first")[c].alias(c) for c in links.columns])
+        .select("url_key", *[F.col(c) if c in within else F.col("_first")[c].alias(c) for c in links.columns])
     )
 
 

@@ -15,6 +15,10 @@ from pagelarder.functions.urls import resolve_url
 from pagelarder.operators.select import Selection
 
 
+# White space of HTML at either end of an attribute.
+_OUTER_SPACE = r"^[\t\n\f\r ]+|[\t\n\f\r ]+$"
+
+
 def unwrap_json_html(body: Column) -> Column:
     """HTML text inside {"data": {"html": ...}}, without line feeds and backslashes."""
     html = F.from_json(body, "data struct<html:string>")["data"]["html"]
@@ -26,9 +30,9 @@ def all_links(page: Selection) -> Column:
 
 
 def json_keys(body: Column) -> Column:
-    """The keys of "postflair", unless "type" is "empty"."""
+    """The keys of "postflair", each once, unless "type" is "empty"."""
     parsed = F.from_json(body, "type string, postflair map<string,string>")
-    return F.when(parsed["type"] != "empty", F.map_keys(parsed["postflair"]))
+    return F.when(parsed["type"] != "empty", F.array_distinct(F.map_keys(parsed["postflair"])))
 
 
 def is_empty_listing(body: Column) -> Column:
@@ -50,7 +54,7 @@ def per_container(page: Selection, tag: str, token: str, root: str = "") -> Colu
 def by_rule(regions: Selection, base: Column, allow: str) -> Column:
     """Absolute URLs of the links inside the regions that match `allow`, each URL once."""
     hrefs = regions.descendants(("a", "area")).attr("href")
-    urls = F.transform(hrefs, lambda h: resolve_url(base, F.trim(h)))
+    urls = F.transform(hrefs, lambda h: resolve_url(base, F.regexp_replace(h, _OUTER_SPACE, "")))
     return F.array_distinct(F.filter(urls, lambda u: u.rlike(allow)))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelarder.operators.frontier import first_copies, is_listing
+from pagelarder.functions.urls import url_key
+from pagelarder.operators.frontier import is_listing
 from pagelarder.sources.spec import SourceSpec, registered_sources
 
 RECIPE, LISTING, OTHER = "recipe", "listing", "other"
@@ -41,11 +42,16 @@ def allowed_recipe(url: Column, source: Column, specs: list[SourceSpec] | None =
 
 
 def discovered(pages: DataFrame, links: DataFrame, carry: list[str]) -> DataFrame:
-    """Ids of the pages that `links` (unique per `url_key`) name, with columns of the link.
+    """Ids of the pages that `links` name, with columns of the link.
 
-    Works on ids and keys only. Both sides have one row per key, so no key is skewed.
+    Works on ids and keys only. Pages that no link names leave before copies are collapsed. A
+    key has one page and a link for each run that has it.
     """
-    return first_copies(pages).join(links.select("url_key", *carry), "url_key").drop("url_key")
+    links = links.select("url_key", *carry)
+    keyed = pages.select("page_id", "url").withColumn("url_key", url_key(F.col("url")))
+    named = keyed.join(links.select("url_key").distinct(), "url_key", "left_semi")
+    first = named.groupBy("url_key").agg(F.min("page_id").alias("page_id"))
+    return first.join(links, "url_key").drop("url_key")
 
 
 def fetch(pages: DataFrame, chosen: DataFrame) -> DataFrame:

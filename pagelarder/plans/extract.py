@@ -54,10 +54,12 @@ def extract(pages: DataFrame, specs: list[SourceSpec] | None = None) -> DataFram
     return extracted
 
 
-def find_links(listings: DataFrame, specs: list[SourceSpec] | None = None) -> DataFrame:
+def find_links(
+    listings: DataFrame, specs: list[SourceSpec] | None = None, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """(page_id, source, category, listing_url, pos, url) of each link on the listing pages.
 
-    `listings` has page_id, url, html, source and category. Bodies that are JSON only are not
+    `listings` has page_id, url, html, source, category and the columns to carry along. Bodies that are JSON only are not
     shredded but parsed in place.
     """
     specs = [s for s in (registered_sources() if specs is None else specs) if s.links]
@@ -72,7 +74,7 @@ def find_links(listings: DataFrame, specs: list[SourceSpec] | None = None) -> Da
     )
     if plain_json:
         shreddable = shreddable.when(source.isin(*plain_json), F.lit(None))
-    keep = ["page_id", "source", "category", "url"]
+    keep = ["page_id", "source", "category", "url", *carry]
     known = listings.filter(source.isin(*[s.name for s in specs])).select(
         *keep,
         F.when(source.isin(*plain_json), body).alias("body"),
@@ -83,7 +85,7 @@ def find_links(listings: DataFrame, specs: list[SourceSpec] | None = None) -> Da
         [(s.name, s.links.find(nodes, F.col("body"), F.col("url"))) for s in specs]
     )
     return shred(known, keep=[*keep, "body"]).select(
-        "page_id", "source", "category",
+        "page_id", "source", "category", *carry,
         F.col("url").alias("listing_url"),
         F.posexplode(urls).alias("pos", "url"),
     )

@@ -1,12 +1,13 @@
-"""Session settings, spreading of small inputs and the shared scratch folder."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHARED = "spark.pagelarder.shared.dir"
+
 # Pages are large and grow when shredded: small scan splits and small Arrow batches keep the
 # working set of a task low. Adaptive execution picks join strategies and splits skewed keys
 # from measured sizes.
@@ -43,19 +44,6 @@ def partitions_for(moved_bytes: int, cores: int, target: int = 128 << 20) -> int
     return max(cores, -(-moved_bytes // target))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core work when a scanned input has fewer splits than there are cores.
-
-    That is the case only for inputs of less than one split per core, so what is shuffled is
-    bounded by cores x split size. Larger inputs are returned as they are: their pages are
-    never shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table to the shared folder and read it back: computed once, of known size."""
     folder = shared_folder(df.sparkSession, purpose)
@@ -64,13 +52,12 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared folder that the session names in spark.checkpoint.dir.
+    """A new folder below the folder that all executors share.
 
-    Only a local session may fall back to a temporary folder of the machine.
+    spark.checkpoint.dir names it, or spark.pagelarder.shared.dir where the former is unset,
+    which a running session can still set. There is no fallback.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-")
+        raise ValueError(f"set spark.checkpoint.dir or {SHARED} to a folder all executors can reach")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -87,5 +87,6 @@ SPEC = register_source(
         lost_if=_lost_if,
         links=Links(JSON, lambda page, body, url: links.json_keys(body)),
         listings=(LISTING,),
+        sequential=True,
     )
 )

@@ -40,6 +40,7 @@ class SourceSpec:
                    listing links to it
     listings       URL templates of listing pages with one %s for the page number
     decompose      apply NFKD to the steps
+    sequential     a run over its listings ends at the first empty page
     """
 
     name: str
@@ -50,6 +51,7 @@ class SourceSpec:
     recipe_prefix: str | None = None
     listings: tuple[str, ...] = ()
     decompose: bool = False
+    sequential: bool = False
 
     def record(self, page: Selection) -> Column:
         """The record of a page as one struct with a `reason`, null unless the page is lost."""

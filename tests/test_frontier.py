@@ -1,7 +1,13 @@
 """Page ranges, windows, cut-offs, de-duplication, set differences, hot keys."""
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
+from pagelarder.functions.urls import url_key
+from pagelarder.plans.crawl import chosen_pages
+from pagelarder.sources import receitas_portugal
+
 from pagelarder.functions.urls import url_key
 from pagelarder.operators import frontier
 from pagelarder.operators.frontier import is_listing
@@ -46,11 +52,44 @@ def test_pages_until_empty(spark):
     rows = [("a", n, n in (4, 6)) for n in range(1, 8)] + [("b", 1, False), ("c", 1, True)]
     pages = spark.createDataFrame(rows, "run string, page int, is_empty boolean")
     empty = pages.filter("is_empty")
-    for few in (False, True):
-        kept = frontier.pages_until_empty(pages, empty, ["run"], "page", few_runs=few)
-        assert sorted((r.run, r.page) for r in kept.collect()) == [
-            ("a", 1), ("a", 2), ("a", 3), ("b", 1),
-        ]
+    kept = frontier.pages_until_empty(pages, empty, ["run"], "page")
+    assert sorted((r.run, r.page) for r in kept.collect()) == [
+        ("a", 1), ("a", 2), ("a", 3), ("b", 1),
+    ]
+
+
+def test_runs_do_not_cut_or_empty_each_other(spark):
+    """Windows of one source: the empty page of one ends that window alone, and a recipe that two
+    windows list is chosen for both."""
+    def body(*links):
+        keys = ",".join(f'"https://x/{n}":1' for n in links)
+        return f'{{"type":"success","postflair":{{{keys}}}}}'
+
+    address = "https://www.receitasportugal.test/%s"
+    spec = dataclasses.replace(receitas_portugal.SPEC, name="own", listings=(address,))
+    rows = [(1, address % 1, body("a", "b")), (2, address % 2, '{"type":"empty"}'), (3, address % 3, body("a", "c")),
+            (11, "https://x/a", ""), (12, "https://x/b", ""), (13, "https://x/c", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    runs = spark.createDataFrame(
+        [("own", "1", "2", None), ("own", "3", "3", None), ("other", "1", "1", None), ("own", "x", "1", None)], RUNS
+    )
+    chosen = chosen_pages(pages, runs, specs=[spec]).collect()
+    assert sorted((r.run_id, r.page_id) for r in chosen) == [
+        ("own//1/2", 11), ("own//1/2", 12), ("own//3/3", 11), ("own//3/3", 13),
+    ]
+    lost = frontier.run_rejects(runs, [spec]).collect()
+    assert sorted((r.run_id, r.reason) for r in lost) == [
+        ("other//1/1", "unknown source"), ("own//x/1", "no page range"),
+    ]
+
+
+def test_url_keys_of_raw_and_encoded_paths(spark):
+    rows = [("/receitas/a\u00e7orda", "/receitas/a%C3%A7orda"), ("/a%c3%a7?b", "/a\u00e7?b="), ("/a%2Fb", "/a%2fb"),
+            ("/100%", "/100%25"), ("/a b+c", "/a%20b%2Bc")]
+    keys = spark.createDataFrame(rows, "a string, b string").select(
+        *[url_key(F.concat(F.lit("http://h"), F.col(c))).alias(c) for c in "ab"]
+    )
+    assert all(r.a == r.b for r in keys.collect())
 
 
 def test_a_link_that_a_third_of_all_rows_repeat(spark):
