@@ -27,6 +27,7 @@ from pagelarder.operators.select import Selection
 from pagelarder.plans.crawl import run
 from pagelarder.plans.extract import extract
 from pagelarder.session import shared_folder
+from pagelarder.sources import sapo_sabores
 from pagelarder.sources.feed import feed_lines, read_job_parts, read_recipes, write_recipes
 from pagelarder.sources.pages import read_pages
 from pagelarder.sources.spec import SourceSpec
@@ -145,6 +146,55 @@ UNION SELECT source, w_start, 0 FROM seen)
 SELECT source || ':' || w_start AS run_id, source, url, name FROM v JOIN r USING (source, doc_id) WHERE reason IS NULL"""
 
 
+CHAIN, DOSSIER, BROKEN, EVERY = 4, 10, 5, 7
+
+
+def run_nested_listings(spark, sf_dir):
+    """Listings that lead to recipes over one to four pages which are no listing by their address.
+
+    Listing page c names dossier 4c, and a dossier names its ten recipes and the next dossier,
+    unless it is the last of its chain or one whose number is 5 modulo 7.
+    """
+    n = F.floor(F.col("doc_id") / DOSSIER)
+    groups = spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy(n.alias("n")).agg(
+        F.sort_array(F.collect_list("doc_id")).alias("docs")
+    )
+
+    def named(path):
+        return F.concat(F.lit('<article class="recipe"><a href="'), path, F.lit('">x</a></article>'))
+
+    def dossier(number):
+        return F.concat(F.lit("/sabores/dossier/"), number.cast("string"))
+
+    goes_on = (F.col("n") % CHAIN < CHAIN - 1) & (F.col("n") % EVERY != BROKEN)
+    recipes_of = F.transform("docs", lambda d: named(F.concat(F.lit("/sabores/receitas/r"), d)))
+    dossiers = groups.select(
+        (-F.col("n") * 2 - 1).alias("page_id"),
+        F.concat(F.lit(sapo_sabores.SITE), dossier(F.col("n"))).alias("url"),
+        F.concat(F.array_join(recipes_of, ""), F.when(goes_on, named(dossier(F.col("n") + 1))).otherwise("")).alias("html"),
+    )
+    chain = F.floor(F.col("n") / CHAIN)
+    heads = groups.filter(F.col("n") % CHAIN == 0).select(
+        (-F.col("n") * 2 - 2).alias("page_id"),
+        F.replace(F.lit(sapo_sabores.LISTING), F.lit("%s"), (chain + 1).cast("string")).alias("url"),
+        named(dossier(F.col("n"))).alias("html"),
+    )
+    stored = read_pages(spark, f"{stored_pages(spark, sf_dir)}/site=sapo_sabores")
+    wanted = heads.agg(F.count("*").cast("string").alias("page_end")).select(
+        F.lit("sapo_sabores").alias("source"), F.lit("1").alias("page_start"), "page_end",
+        F.lit(None).cast("string").alias("category"),
+    )
+    found = run(combine(stored.select("page_id", "url", "html"), dossiers, heads), wanted)
+    return flat(recipes(found)).select("source", "url", "name", "n_steps")
+
+
+RUN_NESTED_LISTINGS_SQL = (
+    f"WITH {sql.DOCS}, r AS ({sql.all_records(['sapo_sabores'])}) "
+    f"SELECT source, url, name, n_steps FROM r WHERE reason IS NULL AND len(list_filter(range("
+    f"doc_id // {DOSSIER} // {CHAIN} * {CHAIN}, doc_id // {DOSSIER}), lambda x: x % {EVERY} = {BROKEN})) = 0"
+)
+
+
 def _earlier(spark, sf_dir) -> DataFrame:
     """Documents with a good label count as extracted earlier, from every site."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
@@ -265,6 +315,16 @@ INCREMENTAL_SITES_SQL = (
 )
 
 
+def incremental_late_listing(spark, sf_dir):
+    """All recipe pages land in one batch and their listings in a later one."""
+    folder, checkpoint = shared_folder(spark, "done"), shared_folder(spark, "checkpoint")
+    pages = stored_pages(spark, sf_dir)
+    for at, part in enumerate(("site=[!l]*", "site=listing")):
+        stream = read_stream(spark, f"{pages}/{part}")
+        start_incremental(stream, folder, f"{checkpoint}-{at}").awaitTermination()
+    return flat(recipes(read_done(spark, folder)))
+
+
 def distinct_url_stream(spark, sf_dir):
     """Each URL once, across the batches of a stream that sees every page twice."""
     folder, checkpoint = shared_folder(spark, "urls"), shared_folder(spark, "checkpoint")
@@ -290,11 +350,13 @@ QUERIES = {
     "rejected_pages": (rejected_pages, REJECTED_PAGES_SQL),
     "run_records": (run_records, RUN_RECORDS_SQL),
     "run_windows": (run_windows, RUN_WINDOWS_SQL),
+    "run_nested_listings": (run_nested_listings, RUN_NESTED_LISTINGS_SQL),
     "run_new_records": (run_new_records, RUN_NEW_RECORDS_SQL),
     "feed_round_trip": (feed_round_trip, CONFORMED_RECORDS_SQL),
     "job_parts": (job_parts, JOB_PARTS_SQL),
     "custom_source": (custom_source, CUSTOM_SOURCE_SQL),
     "incremental_run": (incremental_run, CUSTOM_SOURCE_SQL),
+    "incremental_late_listing": (incremental_late_listing, INCREMENTAL_SITES_SQL),
     "incremental_sites": (incremental_sites, INCREMENTAL_SITES_SQL),
     "distinct_url_stream": (distinct_url_stream, DISTINCT_URL_STREAM_SQL),
 }

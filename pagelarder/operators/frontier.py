@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelarder.functions.urls import url_key
-from pagelarder.sources import vaqueiro
 from pagelarder.sources.spec import SourceSpec, registered_sources
 
 
@@ -27,11 +26,17 @@ def template_table(spark: SparkSession, specs: list[SourceSpec] | None = None) -
     )
 
 
-def category_table(spark: SparkSession) -> DataFrame:
-    """(category, category_id, max_pages), a fixed table of 14 rows."""
-    names = ("category", "category_id", "max_pages")
-    columns = zip(*vaqueiro.CATEGORIES, strict=True)
-    return spark.createDataFrame(pa.table(dict(zip(names, map(list, columns), strict=True))))
+def category_table(spark: SparkSession, specs: list[SourceSpec] | None = None) -> DataFrame:
+    """A row per category of the sources that have some; its size is that of the registry."""
+    specs = registered_sources() if specs is None else specs
+    rows = [(s.name, *row, s.categories.window, s.categories.listing)
+            for s in specs if s.categories for row in s.categories.rows]
+    schema = pa.schema(
+        [(n, pa.string()) for n in ("source", "category", "category_id", "max_pages")]
+        + [("window", pa.int32()), ("listing", pa.string())]
+    )
+    columns = list(zip(*rows, strict=True)) or [[] for _ in schema]
+    return spark.createDataFrame(pa.table(list(map(list, columns)), schema=schema))
 
 
 def _pages(start: Column, end: Column) -> Column:
@@ -62,25 +67,22 @@ def category_pages(runs: DataFrame, categories: DataFrame) -> DataFrame:
     """
     start, end = F.col("page_start").try_cast("int"), F.col("page_end").try_cast("int")
     last = F.when(end.isNotNull(), F.greatest(start, F.least(end, F.col("max_pages").cast("int"))))
-    first_item = (F.col("page") - 1) * vaqueiro.WINDOW
+    first_item = (F.col("page") - 1) * F.col("window")
     return (
-        runs.join(categories, "category")
+        runs.join(categories, [c for c in ("source", "category") if c in runs.columns])
         .withColumn("page", F.explode(F.sequence(start, last)))
         .withColumn("start_idx", first_item)
-        .withColumn("end_idx", first_item + (vaqueiro.WINDOW - 1))
-        .drop("max_pages")
+        .withColumn("end_idx", first_item + F.col("window") - 1)
+        .drop("max_pages", "window")
     )
 
 
 def category_urls(pages: DataFrame) -> DataFrame:
     """Add the URL under which a category listing is stored."""
-    return pages.withColumn(
-        "url",
-        F.format_string(
-            vaqueiro.LISTING + "?category=%s&StartIdx=%d&EndIdx=%d",
-            "category_id", "start_idx", "end_idx",
-        ),
-    )
+    url = F.col("listing")
+    for mark, column in (("{category}", "category_id"), ("{start}", "start_idx"), ("{end}", "end_idx")):
+        url = F.replace(url, F.lit(mark), F.col(column).cast("string"))
+    return pages.withColumn("url", url).drop("listing")
 
 
 def with_run_id(runs: DataFrame) -> DataFrame:
@@ -91,12 +93,20 @@ def with_run_id(runs: DataFrame) -> DataFrame:
     return runs.withColumn("run_id", F.concat_ws("/", *[F.coalesce(c, F.lit("")) for c in parts]))
 
 
+def _by_category(specs: list[SourceSpec]) -> Column:
+    return F.coalesce(F.col("source").isin(*[s.name for s in specs if s.categories]), F.lit(False))
+
+
 def run_rejects(runs: DataFrame, specs: list[SourceSpec] | None = None) -> DataFrame:
     """Runs that name no listing page, with the reason: (run_id, source, category, reason)."""
     known = registered_sources() if specs is None else specs
-    by_category = F.col("source") == vaqueiro.SPEC.name
+    by_category = _by_category(known)
     source = F.col("source").isin(*[s.name for s in known])
-    category = F.col("category").isin(*[c[0] for c in vaqueiro.CATEGORIES])
+    category = F.lit(False)
+    for s in known:
+        if s.categories:
+            named = F.col("category").isin(*[row[0] for row in s.categories.rows])
+            category = F.when(F.col("source") == s.name, named).otherwise(category)
     number = F.col("page_start").try_cast("int").isNotNull() & F.col("page_end").try_cast("int").isNotNull()
     reason = (
         F.when(~F.coalesce(source, F.lit(False)), "unknown source")
@@ -112,9 +122,9 @@ def listing_urls(runs: DataFrame, specs: list[SourceSpec] | None = None) -> Data
     spark = runs.sparkSession
     runs = with_run_id(runs)
     columns = ["run_id", "source", "category", "page", "url"]
-    by_category = F.col("source") == vaqueiro.SPEC.name
+    by_category = _by_category(registered_sources() if specs is None else specs)
     plain = seed_urls(runs.filter(~by_category), template_table(spark, specs))
-    categories = category_pages(runs.filter(by_category), category_table(spark))
+    categories = category_pages(runs.filter(by_category), category_table(spark, specs))
     return plain.select(columns).unionByName(category_urls(categories).select(columns))
 
 
@@ -122,8 +132,7 @@ def is_listing(url: Column, specs: list[SourceSpec] | None = None) -> Column:
     """Is this the address of a listing page? A test that scans can push down."""
     specs = registered_sources() if specs is None else specs
     prefixes = [t.split("%s")[0] for s in specs for t in s.listings]
-    if vaqueiro.SPEC in specs:
-        prefixes.append(vaqueiro.LISTING)
+    prefixes += [s.categories.prefix for s in specs if s.categories]
     return reduce(Column.__or__, [url.startswith(p) for p in prefixes], F.lit(False))
 
 

@@ -27,6 +27,24 @@ class Links:
     find: Callable[[Selection, Column, Column], Column]
 
 
+@dataclass(frozen=True)
+class Categories:
+    """Listings by category and window of items.
+
+    `listing` is the URL template of a listing page with {category}, {start} and {end} for the
+    number of the category and the first and last item; `window` is the number of items of a
+    page; `rows` has the name, number and count of listing pages of each category.
+    """
+
+    listing: str
+    window: int
+    rows: tuple[tuple[str, str, str], ...]
+
+    @property
+    def prefix(self) -> str:
+        return self.listing.split("{", 1)[0]
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     """One source of pages.
@@ -39,6 +57,7 @@ class SourceSpec:
     recipe_prefix  URL prefix of recipe pages; None when a page is a recipe because a
                    listing links to it
     listings       URL templates of listing pages with one %s for the page number
+    categories     listings by category; a run of the source then names one
     decompose      apply NFKD to the steps
     sequential     a run over its listings ends at the first empty page
     """
@@ -50,6 +69,7 @@ class SourceSpec:
     links: Links | None = None
     recipe_prefix: str | None = None
     listings: tuple[str, ...] = ()
+    categories: Categories | None = None
     decompose: bool = False
     sequential: bool = False
 

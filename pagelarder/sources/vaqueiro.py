@@ -10,7 +10,7 @@ from pagelarder.functions.phrase import UNITS, ingredient_name
 from pagelarder.functions.text import clean_lines, delete, strip, substring_after
 from pagelarder.operators import links
 from pagelarder.operators.select import Selection
-from pagelarder.sources.spec import JSON, Links, SourceSpec, register_source
+from pagelarder.sources.spec import JSON, Categories, Links, SourceSpec, register_source
 
 # Fixed values of the site. The listing is a form request; the stored page carries the form
 # fields that tell requests apart in its query string.
@@ -78,6 +78,9 @@ SPEC = register_source(
         fields=_fields,
         lost_if=lambda p: [("no name", p["name"].isNull())],
         links=Links(JSON, lambda page, body, url: links.json_array(body, SITE)),
+        categories=Categories(
+            LISTING + "?category={category}&StartIdx={start}&EndIdx={end}", WINDOW, CATEGORIES
+        ),
         decompose=True,
     )
 )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pagelarder.operators.conform import recipes, rejects
 from pagelarder.operators.routing import route
+from pagelarder.plans.crawl import chosen_pages
 from pagelarder.plans.extract import extract
 from pagelarder.session import shared_folder
 from pagelarder.streaming.incremental import (
@@ -103,3 +104,62 @@ def test_distinct_urls_across_batches(spark, landing):
     keys = [r.url_key for r in spark.read.parquet(out).orderBy("url_key").collect()]
     assert len(keys) == len(set(keys)) == 5
     assert spark.read.parquet(out).filter(F.col("url_key").contains("#")).count() == 0
+
+
+def test_recipes_that_land_before_their_listing(spark, landing):
+    folder, land = landing
+    out, checkpoint = shared_folder(spark, "out"), shared_folder(spark, "checkpoint")
+
+    def run():
+        start_incremental(read_stream(spark, folder), out, checkpoint).awaitTermination()
+        return sorted((r.url, r.dish_type) for r in recipes(read_done(spark, out)).collect())
+
+    listing = "https://www.vaqueiro.pt/Search/QueryService?category=1&StartIdx=0&EndIdx=11"
+    body = '{"bodydata":{"Results":[{"Url":"/receitas/x"},{"Url":"/receitas/y"}]}}'
+    site = "https://www.vaqueiro.pt/receitas/"
+    land((1, site + "x", VAQUEIRO), (2, site + "z", VAQUEIRO))
+    assert run() == []
+    land((3, site + "x#late", VAQUEIRO))
+    assert run() == []
+    land((4, listing, body))
+    assert run() == [(site + "x", "sopas")]
+    land((5, site + "y", VAQUEIRO), (6, listing, body))
+    assert run() == [(site + "x", "sopas"), (site + "y", "sopas")]
+
+
+SAPO_SITE = "https://lifestyle.sapo.pt"
+
+
+def _listing(*paths):
+    return "".join(f'<article class="recipe"><a href="{p}">t</a></article>' for p in paths)
+
+
+# The listing names a dossier, which names a second one and a recipe, which names the first again.
+NESTED = [
+    (1, SAPO_SITE + "/pesquisar?pagina=1&q=&filtro=receitas", _listing("/sabores/dossier/1")),
+    (2, SAPO_SITE + "/sabores/dossier/1", _listing("/sabores/dossier/2", "/sabores/receitas/x")),
+    (3, SAPO_SITE + "/sabores/dossier/2", _listing("/sabores/dossier/1", "/sabores/receitas/y")),
+    (4, SAPO_SITE + "/sabores/dossier/3", _listing("/sabores/receitas/z")),
+    (5, SAPO_SITE + "/sabores/receitas/x", SAPO),
+    (6, SAPO_SITE + "/sabores/receitas/y", SAPO),
+    (7, SAPO_SITE + "/sabores/receitas/z", SAPO),
+]
+
+
+def test_nested_listings_of_a_run(spark):
+    pages = spark.createDataFrame(NESTED, "page_id long, url string, html string")
+    runs = spark.createDataFrame([("sapo_sabores", "1", "1", None)],
+                                 "source string, page_start string, page_end string, category string")
+    assert sorted(r.page_id for r in chosen_pages(pages, runs).collect()) == [5, 6]
+
+
+@pytest.mark.parametrize("order", [(2, 1, 0), (0, 1, 2), (1, 2, 0)])
+def test_nested_listings_land_in_any_order(spark, landing, order):
+    folder, land = landing
+    out, checkpoint = shared_folder(spark, "out"), shared_folder(spark, "checkpoint")
+    for at in order:
+        land(NESTED[at])
+        start_incremental(read_stream(spark, folder), out, checkpoint).awaitTermination()
+    urls = {r.url for r in read_links(spark, out).collect()}
+    assert urls == {SAPO_SITE + "/sabores/" + p for p in ("dossier/1", "dossier/2", "receitas/x", "receitas/y")}
+    assert read_done(spark, out).count() == 0
