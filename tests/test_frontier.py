@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pagelarder.functions.urls import url_key
 from pagelarder.plans.crawl import chosen_pages
 from pagelarder.sources import receitas_portugal
+from pagelarder.sources.spec import Categories
 
 from pagelarder.functions.urls import url_key
 from pagelarder.operators import frontier
@@ -40,6 +41,17 @@ def test_category_pages(spark):
     assert spark.createDataFrame([], RUNS).transform(frontier.listing_urls).count() == 0
 
 
+def test_categories_of_a_users_source(spark):
+    own = dataclasses.replace(
+        receitas_portugal.SPEC, name="own", listings=(),
+        categories=Categories("http://own/{category}?from={start}&to={end}", 5, (("soups", "7", "2"),)),
+    )
+    runs = spark.createDataFrame([("own", "1", "9", "soups"), ("own", "1", "1", "cakes")], RUNS)
+    urls = frontier.listing_urls(runs, [own]).collect()
+    assert sorted(r.url for r in urls) == ["http://own/7?from=0&to=4", "http://own/7?from=5&to=9"]
+    assert [r.reason for r in frontier.run_rejects(runs, [own]).collect()] == ["unknown category"]
+
+
 def test_page_windows(spark):
     windows = spark.createDataFrame([(1, 25, 10), (5, 3, 2)], "start int, total int, inc int")
     plain = sorted((r.w_start, r.w_end) for r in frontier.page_windows(windows).collect())
