@@ -252,6 +252,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
         F.sort_array(F.collect_list("record_start")).alias("wanted")
     )
     frames = frames.select("bundle", "frame_start", "frame_bytes", "wanted")
+    # The index is small and the frames are not, so tasks are counted, not merged by its size.
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frames = frames.repartition(tasks, "bundle", "frame_start")
     return frames.mapInArrow(lambda batches: _read(batches, folder), RECORD)
 
 
