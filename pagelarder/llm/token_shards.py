@@ -265,7 +265,9 @@ def read_shards(
 ) -> DataFrame:
     """slot, shard, byte_offset, tokens of the slots from `first` up to `last`, read from the files."""
     names = manifest.where((F.col("slot") >= first) & (F.col("slot") < last)).select("shard").distinct()
-    return names.mapInArrow(
+    # Names are few bytes and shards are many, so tasks are counted, not merged by the size of names.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(tasks, "shard").mapInArrow(
         lambda b: _read(b, folder, length, per_shard, first, last),
         "slot long, shard string, byte_offset long, tokens binary",
     )
@@ -277,8 +279,9 @@ def materialised(spark: SparkSession, docs: DataFrame) -> DataFrame:
     folder = shared_folder(spark, "shards")
     manifest = write_shards(docs, folder)
     read = read_shards(manifest, folder).select(
-        "slot", "byte_offset", F.sha2("tokens", 256).alias("sha256")
+        "slot", "byte_offset", F.unhex(F.sha2("tokens", 256)).alias("digest")
     )
-    return manifest.join(read, "slot").select(
-        "slot", "shard", "byte_offset", "n_tokens", "doc_ids", "sha256"
+    # Both sides have a row per sequence, so neither is broadcast.
+    return manifest.join(read.hint("merge"), "slot").select(
+        "slot", "shard", "byte_offset", "n_tokens", "doc_ids", F.lower(F.hex("digest")).alias("sha256")
     )
