@@ -50,8 +50,9 @@ def _element(
 class Selection:
     """Nodes of one page.
 
-    `at` lists their positions; it is null for the page itself. Inside `map` and `within` a
-    selection is one node, whose position `one` needs no list.
+    `at` lists their positions; it is None for the page itself, whose children are the nodes
+    without a parent and which has no attributes. Inside `map` and `within` a selection is one
+    node, whose position `one` needs no list.
     """
 
     def __init__(self, nodes: Column, at: Column | None = None, one: Column | None = None):
@@ -82,8 +83,13 @@ class Selection:
     def _select(self, at: Column) -> Selection:
         return Selection(self.nodes, at)
 
-    def _keep(self, test: Test) -> Selection:
-        return self._select(F.filter(self.at, lambda p: test(F.get(self.nodes, p))))
+    def _listed(self, step: str) -> Column:
+        if self.at is None:
+            raise ValueError(f"`{step}` starts from elements; select some of the page first")
+        return self.at
+
+    def _keep(self, test: Test, step: str) -> Selection:
+        return self._select(F.filter(self._listed(step), lambda p: test(F.get(self.nodes, p))))
 
     def _texts_at(self, test: Callable[[Column, Column], Column]) -> Column:
         """Text of the text nodes below each selected node that pass `test(node, position)`."""
@@ -91,6 +97,8 @@ class Selection:
         def step(p: Column) -> Column:
             return F.filter(self._subtree(p, own=False), lambda n: test(n, p))
 
+        if self.at is None:
+            return F.filter(self.nodes, lambda n: test(n, F.lit(-1)))["text"]
         if self._one is not None:
             return step(self._one)["text"]
         at = self._step(lambda p: step(p)["pre"])
@@ -120,16 +128,19 @@ class Selection:
             )["pre"]
             return found if nth is None else F.slice(found, nth, 1)
 
+        if self.at is None:
+            found = F.filter(self.nodes, lambda n: (n["parent"] < 0) & test(n))["pre"]
+            return self._select(found if nth is None else F.slice(found, nth, 1))
         return self._select(self._step(step))
 
     # -- tests on the selected nodes ---------------------------------------------------
 
     def where_attr(self, name: str, value: str) -> Selection:
-        return self._keep(lambda n: n["attrs"][name] == value)
+        return self._keep(lambda n: n["attrs"][name] == value, "where_attr")
 
     def not_class(self, cls: str) -> Selection:
         """Nodes whose class attribute is missing or differs from `cls`."""
-        return self._keep(lambda n: n["cls"].isNull() | (n["cls"] != cls))
+        return self._keep(lambda n: n["cls"].isNull() | (n["cls"] != cls), "not_class")
 
     # -- one result per node -----------------------------------------------------------
 
@@ -139,11 +150,11 @@ class Selection:
 
     def map(self, body: Callable[[Selection], Column]) -> Column:
         """Run `body` at each node; one value per node."""
-        return F.transform(self.at, lambda p: body(Selection(self.nodes, one=p)))
+        return F.transform(self._listed("map"), lambda p: body(Selection(self.nodes, one=p)))
 
     def head(self, at: Callable[[Column], Column]) -> Selection:
         """Reduce the list of nodes, for example to its first half."""
-        return self._select(at(self.at))
+        return self._select(at(self._listed("head")))
 
     # -- values ------------------------------------------------------------------------
 
@@ -157,16 +168,18 @@ class Selection:
 
     def attr(self, name: str) -> Column:
         """The attribute of each selected node that has it."""
-        values = F.transform(self.at, lambda p: F.get(self.nodes, p)["attrs"][name])
+        values = F.transform(self._listed("attr"), lambda p: F.get(self.nodes, p)["attrs"][name])
         return F.filter(values, lambda v: v.isNotNull())
 
     def string(self) -> Column:
         """String value of the first selected node; '' when nothing is selected."""
+        if self.at is None:
+            return F.array_join(self.texts(), "")
         return F.coalesce(let(first(self.at), self._string_value), F.lit(""))
 
     def strings(self) -> Column:
         """String value of each selected node."""
-        return F.transform(self.at, self._string_value)
+        return F.transform(self._listed("strings"), self._string_value)
 
     def _string_value(self, position: Column) -> Column:
         return F.array_join(

@@ -22,6 +22,34 @@ LISTINGS = [
 ]
 
 
+def _titles(*hrefs: str, head: str = "") -> str:
+    linked = "".join(f'<a href="{h}">x</a>' for h in hrefs)
+    return f'{head}<div class="td-block-span6"><h3 class="entry-title td-module-title">{linked}</h3></div>'
+
+
+SITE = "https://www.teleculinaria.pt"
+RULES = [
+    # Downloads are no pages; an extension counts at the end of the path alone.
+    (_titles("/receitas/a.PDF", "/receitas/b.tar.gz?x=1", "/receitas/c.pdf/", "/receitas/d?f=e.pdf"),
+     [f"{SITE}/receitas/c.pdf/", f"{SITE}/receitas/d?f=e.pdf"]),
+    # One link of two that ask for the same, in the spelling that came first; fragments differ.
+    (_titles("/receitas/a?y=2&x=1", "/receitas/a?x=1&y=2", "/receitas/a?x=1&y=2#top"),
+     [f"{SITE}/receitas/a?y=2&x=1", f"{SITE}/receitas/a?x=1&y=2#top"]),
+    # Links are relative to the first base of the page, which may itself be relative.
+    (_titles("bolo", head='<base href="/receitas/x/"><base href="/other/">'), [f"{SITE}/receitas/x/bolo"]),
+    (_titles("bolo", head='<base href="https://img.pt/receitas/">'), ["https://img.pt/receitas/bolo"]),
+    (_titles("bolo", head="<base target=_top>"), [f"{SITE}/receitas/page/1/bolo"]),
+]
+
+
+def test_links_by_rule(spark):
+    rows = [(n, "teleculinaria", f"{SITE}/receitas/page/1/", body) for n, (body, _) in enumerate(RULES)]
+    pages = spark.createDataFrame(rows, "page_id long, source string, url string, html string")
+    found = find_links(pages.withColumn("category", F.lit("c")).coalesce(1)).collect()
+    for n, (_, expected) in enumerate(RULES):
+        assert sorted((r.pos, r.url) for r in found if r.page_id == n) == list(enumerate(expected)), n
+
+
 def test_links(spark):
     rows = [
         (n, source, f"https://www.{source}.pt/receitas/page/1/", body)

@@ -95,3 +95,18 @@ def test_slices_and_fallbacks(evaluate):
         first_non_empty(doc.css("q").strings(), doc.css("u").strings(), items.strings()),
         first_non_empty(doc.css("q").strings()),
     ) == (["1", "2"], ["1"], ["4"], None)
+
+
+def test_steps_from_the_page_itself(evaluate):
+    html = "a<p x=1>b<i>c</i></p>d<p>e</p><u>f</u>"
+    doc = page()
+    assert evaluate(
+        html, doc.text(), doc.texts(), doc.string(), doc.child("p").texts(), doc.child(nth=2).texts(),
+        doc.child("i").texts(),
+    ) == (["a", "d"], ["a", "b", "c", "d", "e", "f"], "abcdef", ["b", "c", "e"], ["e"], [])
+    for step in (
+        lambda: doc.attr("x"), lambda: doc.where_attr("x", "1"), lambda: doc.not_class("x"),
+        lambda: doc.strings(), lambda: doc.map(lambda n: n.string()), lambda: doc.head(first_half),
+    ):
+        with pytest.raises(ValueError, match="starts from elements"):
+            step()
