@@ -3,8 +3,9 @@
 Every block element has a composite density: characters per tag, lowered by the share of link
 text and link tags, relative to the page. The element whose block children have the greatest sum
 of densities holds the article. The least density on its path up to the body is the threshold;
-block elements outside it that are as dense as that, and whose own children sum to at least as
-much as theirs, belong to the text as well.
+block elements outside it that are as dense as that belong to the text as well, also those
+without block children. If the element lies in an `article` (the outermost one counts) or else in
+a `main`, all of that is taken, however short its other paragraphs are.
 
 Elements that are never article text by their name, role or class words are left out before
 densities are computed. Inside the chosen subtrees nothing else is dropped.
@@ -133,6 +134,14 @@ class Page:
             sums[max(at, 0)] += density[i]
         return density, sums
 
+    def lifted(self, i: int) -> int:
+        """The outermost article around a node, else the outermost main, else the node."""
+        found, at = {}, i
+        while at >= 0:
+            found[self.tag[at]] = at
+            at = self.parent[at]
+        return found.get("article", found.get("main", i))
+
     def chosen(self) -> list[int]:
         """Roots of the subtrees that hold the main text, in page order."""
         density, sums = self.densities()
@@ -147,6 +156,7 @@ class Page:
             if at == body:
                 break
             at = self.parent[at]
+        best = self.lifted(best)
         above = set()
         at = best
         while at >= 0:
@@ -157,7 +167,7 @@ class Page:
             if i == best:
                 roots.append(i)
                 i = self.end[i] + 1
-            elif i not in above and density[i] >= threshold and sums[i] >= density[i]:
+            elif i not in above and density[i] and density[i] >= threshold:
                 roots.append(i)
                 i = self.end[i] + 1
             else:

@@ -222,6 +222,24 @@ def test_main_text():
     assert main_text.main_text("<p>" + "<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+def test_main_text_of_wrapped_and_sectioned_articles():
+    long = [prose(i, 60) for i in range(4)]
+    paragraphs = "".join(f"<p>{x}</p>" for x in long[:3])
+    whole = "\n".join(["Title", "A lead.", *long[:3], "The last."])
+    inside = f"<h1>Title</h1><p>A lead.</p><div class=body>{paragraphs}</div><p>The last.</p>"
+    sections = f"<section><h1>Title</h1><p>A lead.</p></section><section>{paragraphs}</section><section><p>The last.</p></section>"
+    for content in (inside, sections):
+        for name in ("article", "main"):
+            assert main_text.main_text(f"<body><div><{name}>{content}</{name}></div></body>") == whole
+    # Without either, blocks beside the winner count by their own density, also those without blocks.
+    page = "<body><div><{0}>" + long[3] + "</{0}><div>" + paragraphs + "</div><p>x y</p></div></body>"
+    for name in ("p", "pre", "blockquote", "h2"):
+        assert main_text.main_text(page.format(name)) == "\n".join([long[3], *long[:3]])
+    # A dense block with more bare text than its one short block is taken whole.
+    page = f"<body><div><div>{long[3]}<p>Short.</p></div><div>{paragraphs}</div></div></body>"
+    assert main_text.main_text(page) == "\n".join([long[3], "Short.", *long[:3]])
+
+
 def test_main_text_keeps_rows(spark):
     pages = [(None, None, None), (1, "u", ""), (2, "u", "<p>a</p>"), (2, "u", "<p>a</p>")]
     found = main_text.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
