@@ -7,8 +7,12 @@ block elements outside it that are as dense as that belong to the text as well,
 without block children. If the element lies in an `article` (the outermost one counts) or else in
 a `main`, all of that is taken, however short its other paragraphs are.
 
-Elements that are never article text by their name, role or class words are left out before
-densities are computed. Inside the chosen subtrees nothing else is dropped.
+Elements that are never article text by their name, role or class are left out before densities
+are computed. A class or id counts only as a whole: `sidebar` or `cookie-notice`, not
+`has-sidebar` or `search-page`. An element left out by role, class, style or as a form or page
+header stays if it contains a main, an article of its own, or most of the page's unlinked text;
+the last not if an article or main elsewhere has text. Inside the chosen subtrees nothing else is
+dropped.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ BLOCKS = {
     "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 NEVER = {
-    "aside", "audio", "button", "canvas", "datalist", "dialog", "embed", "footer", "form", "frame",
+    "aside", "audio", "button", "canvas", "datalist", "dialog", "embed", "footer", "frame",
     "frameset", "head", "iframe", "input", "map", "menu", "nav", "noembed", "noframes", "noscript",
     "object", "optgroup", "option", "script", "select", "style", "svg", "template", "textarea",
     "title", "video",
@@ -52,26 +56,43 @@ SIDE_WORDS = {
     "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toc",
     "toolbar", "topbar", "widget",
 }
+# Words that leave a side name what it is: comment-list, sidebar-primary, ad-container.
+PLAIN_WORDS = {
+    "area", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons",
+    "container", "content", "form", "google", "header", "icon", "icons", "inner", "item", "items",
+    "left", "link", "links", "list", "main", "media", "message", "outer", "overlay", "panel", "post",
+    "posts", "primary", "right", "secondary", "section", "site", "slot", "text", "title", "top",
+    "unit", "widgets", "wrap", "wrapper",
+}
 _KEEP = {"html", "body", "main", "article"}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def is_side(tag) -> bool:
-    """Whether an element can't hold article text, by its start tag."""
+def side_name(name: str) -> bool:
+    """Whether a class or id names a side element: side words, alone or with plain words only."""
+    words = [word.lower() for word in _WORD.findall(name)]
+    return any(w in SIDE_WORDS for w in words) and all(w in SIDE_WORDS or w in PLAIN_WORDS for w in words)
+
+
+def side_of(tag) -> int:
+    """What a start tag says: 2 for never article text, 1 for a side element, 0 for neither.
+
+    -1 marks an article that is named as a side element, such as a comment.
+    """
     name = tag.tag
     if name in NEVER:
-        return True
+        return 2
     attrs = dict(tag.attrs)
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
-        return True
+        return 1
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
+        return 1
+    named = any(map(side_name, f"{attrs.get('class', '')} {attrs.get('id', '')}".split()))
     if name in _KEEP:
-        return False
-    if ROLES & set(attrs.get("role", "").lower().split()):
-        return True
-    named = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return any(word.lower() in SIDE_WORDS for word in _WORD.findall(named))
+        return -1 if named and name == "article" else 0
+    if name == "form" or ROLES & set(attrs.get("role", "").lower().split()):
+        return 1
+    return int(named)
 
 
 class Page:
@@ -85,18 +106,50 @@ class Page:
         self.parent = [-1] + [p + 1 for p in nodes.parent]
         self.end = [n] + [e + 1 for e in nodes.end]
         self.out = [False] * (n + 1)
-        inside_article = [False] * (n + 1)
+        side, inside_article = [0] * (n + 1), [False] * (n + 1)
         for i in range(1, n + 1):
             up, tag = self.parent[i], nodes.tags[i - 1]
             inside_article[i] = inside_article[up] or self.tag[i] in ("article", "main")
-            if self.out[up]:
-                self.out[i] = True
+            if side[up] == 2:
+                side[i] = 2
             elif tag is not None:
-                side = sides.get(tag)
-                if side is None:
-                    side = sides[tag] = is_side(tag)
+                known = sides.get(tag)
+                if known is None:
+                    known = sides[tag] = side_of(tag)
                 # The header of a page is a side element, that of an article has its title.
-                self.out[i] = side or (tag.tag == "header" and not inside_article[up])
+                side[i] = known or int(tag.tag == "header" and not inside_article[up])
+        holds = self.holders(side) if 1 in side else []
+        for i in range(1, n + 1):
+            self.out[i] = self.out[self.parent[i]] or side[i] == 2 or (side[i] == 1 and not holds[i])
+
+    def holders(self, side: list[int]) -> list[bool]:
+        """Whether each node contains a main, an article of its own, or most of the unlinked text."""
+        n = len(self.tag)
+        chars, articles = [0] * n, [0] * n
+        article, in_link, own = ([False] * n for _ in range(3))
+        for i in range(1, n):
+            up = self.parent[i]
+            in_link[i] = in_link[up] or self.tag[i] == "a"
+            article[i] = article[up] or self.tag[i] == "article"
+            # Articles named as sides (comments) or inside another article say nothing.
+            own[i] = not side[i] and (self.tag[i] == "main" or (self.tag[i] == "article" and not article[up]))
+        with_text = 0
+        for i in range(n - 1, -1, -1):
+            if side[i] == 2:
+                continue
+            if self.text[i] is not None and not in_link[i]:
+                chars[i] = len("".join(self.text[i].split()))
+            own[i] = own[i] and chars[i] > 0
+            with_text += own[i]
+            articles[i] += own[i]
+            if i:
+                chars[self.parent[i]] += chars[i]
+                articles[self.parent[i]] += articles[i]
+        holds, around = [False] * n, [0] * n
+        for i in range(1, n):
+            around[i] = around[self.parent[i]] + own[i]
+            holds[i] = articles[i] > 0 or (2 * chars[i] > chars[0] and around[i] == with_text)
+        return holds
 
     def densities(self) -> tuple[list[float], list[float]]:
         """Composite density of every node and the sum over its block children."""

@@ -240,6 +240,25 @@ def test_main_text_of_wrapped_and_sectioned_articles():
     assert main_text.main_text(page) == "\n".join([long[3], "Short.", *long[:3]])
 
 
+def test_main_text_inside_wrappers_with_side_words():
+    text = [prose(i, 40) for i in range(3)]
+    inside = "".join(f"<p>{x}</p>" for x in text)
+    wrappers = ["div class='site has-sidebar'", "div class=no-sidebar", "div class=ad-free", "div id=search-page",
+                "section id=related-work", "div class=share-your-story", "form action=/", "div class=sidebar-right",
+                "div class=widget", "div role=form"]
+    sides = ["<div class=sidebar><p>Side.</p></div>", "<div class='x cookie-notice'><p>Notice.</p></div>",
+             "<div class=comment-list><article class=comment><p>No.</p></article></div>", "<form><p>Mail?</p></form>",
+             "<div class=ad-container><p>Buy.</p></div>", "<div id=relatedPosts><p>More.</p></div>"]
+    for wrapper in wrappers:
+        end = wrapper.split()[0]
+        for content in (inside, f"<article>{inside}</article>", f"<main>{inside}</main>"):
+            for page in (f"<{wrapper}>{content}{''.join(sides)}</{end}>", f"<{wrapper}>{content}</{end}>{''.join(sides)}"):
+                assert main_text.main_text(f"<body>{page}</body>") == "\n".join(text), (wrapper, page)
+    # A long side element is no article when there is one elsewhere.
+    page = f"<main><article><p>Short.</p></article><div class=comments>{inside}</div></main>"
+    assert main_text.main_text(page) == "Short."
+
+
 def test_main_text_keeps_rows(spark):
     pages = [(None, None, None), (1, "u", ""), (2, "u", "<p>a</p>"), (2, "u", "<p>a</p>")]
     found = main_text.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
