@@ -6,12 +6,12 @@ sort the first 2w. A round counts the distinct pairs, sorts them over range part
 numbers them in order. A pair that occurs once belongs to no repeated run, so its suffix leaves;
 after the first round only repeated lines are left.
 
-Doubling stops when suffixes are sorted by `least_lines` lines: suffixes of equal rank are then
-the intervals of the suffix array whose longest common prefix is at least that long, and deeper
-order decides nothing. Each suffix is aligned with the first occurrence of its interval.
-Consecutive suffixes of a document with one alignment extend each other to a maximal repeated
-run, whose length is the longest common prefix with that first occurrence. Lines of later copies
-are deleted.
+A window counts if it has `least_lines` lines or `least_words` words, so single lines, pairs and
+windows of `least_lines` are looked at, and from there on doubling goes on until nothing repeats.
+Each suffix is aligned with the first occurrence of its widest window that stands earlier too.
+Windows inside an earlier window leave; touching windows of one alignment make a run. Every line
+of a later copy of a run that counts is deleted, since each such run is covered by windows that
+count. A run is cut in two only where the widest windows first stand in different places.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagelarder.llm.common import same, stored
+from pagelarder.llm.common import SPACE, same, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -32,7 +32,7 @@ _KEY = ["doc", "hash"]
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc, hash, pos, digest: the lines that are not blank, in order, without outer white space."""
+    """doc, hash, pos, words, digest: the lines that are not blank, in order, without outer white space."""
     trimmed = F.transform(
         F.split(F.col("text"), "\n"), lambda x: F.regexp_replace(x, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     )
@@ -40,7 +40,8 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("doc"), F.xxhash64("text").alias("hash"),
         F.posexplode(F.filter(trimmed, lambda x: x != "")).alias("pos", "line"),
     )
-    return rows.select(*_KEY, "pos", F.unhex(F.md5("line")).alias("line"))
+    words = F.size(F.split("line", SPACE + "+")).cast("long")
+    return rows.select(*_KEY, "pos", words.alias("words"), F.unhex(F.md5("line")).alias("line"))
 
 
 def _ordered(pairs: DataFrame, order: list[str]) -> DataFrame:
@@ -52,29 +53,19 @@ def _ordered(pairs: DataFrame, order: list[str]) -> DataFrame:
 
 def _doubled(ranks: DataFrame, shift: int) -> DataFrame:
     """Sort suffixes by (rank at pos, rank at pos + shift); those of no repeated pair leave."""
-    here = ranks.select(*_KEY, "pos", F.col("rank").alias("r1"), F.lit(None).cast("long").alias("r2"))
-    there = ranks.select(*_KEY, (F.col("pos") - shift).alias("pos"), F.lit(None).cast("long"), F.col("rank"))
-    both = here.union(there).groupBy(*_KEY, "pos").agg(F.max("r1").alias("r1"), F.max("r2").alias("r2"))
+    none = F.lit(None).cast("long")
+    here = ranks.select(*_KEY, "pos", F.col("rank").alias("r1"), none.alias("r2"), "words")
+    there = ranks.select(*_KEY, (F.col("pos") - shift).alias("pos"), none, F.col("rank"), "words")
+    both = here.union(there).groupBy(*_KEY, "pos").agg(
+        F.max("r1").alias("r1"), F.max("r2").alias("r2"), F.sum("words").alias("words")
+    )
     both = stored(both.where("r1 is not null and r2 is not null"), "pairs")
     pairs = both.groupBy("r1", "r2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return both.join(_ordered(pairs, ["r1", "r2"]), ["r1", "r2"]).select(*_KEY, "pos", "rank")
-
+    return both.join(_ordered(pairs, ["r1", "r2"]), ["r1", "r2"]).select(*_KEY, "pos", "words", "rank")
 
-def repeated_runs(docs: DataFrame, least_lines: int = 3) -> DataFrame:
-    """doc, hash, first_line, last_line, keep_doc, keep_line: runs of lines that repeat an earlier one.
 
-    Lines are numbered from 0 without blank ones. `hash` tells apart rows of one doc_id with
-    different texts; equal rows are one document. Documents are ranked by doc_id, null last.
-    """
-    lines = _lines(docs)
-    lines = stored(lines.dropDuplicates([*_KEY, "pos"]), "lines")
-    names = lines.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    ranks = lines.join(_ordered(names, ["line"]), "line").select(*_KEY, "pos", "rank")
-    width = 1
-    while width < least_lines:
-        shift = min(width, least_lines - width)
-        ranks, width = _doubled(ranks, shift), width + shift
-    ranks = stored(ranks, "suffixes")
+def _later(ranks: DataFrame, width: int) -> DataFrame:
+    """Suffixes whose first `width` lines stand earlier, with their first occurrence."""
     # A number that orders occurrences: doc_id, then the hash's upper bits, then the line.
     place = F.expr(
         "coalesce(cast(doc as decimal(38,0)), cast(9223372036854775807 as decimal(38,0))) * 18014398509481984"
@@ -85,13 +76,43 @@ def repeated_runs(docs: DataFrame, least_lines: int = 3) -> DataFrame:
         F.min_by("doc", place).alias("keep_doc"), F.min_by("pos", place).alias("keep_pos"),
     )
     later = ranks.join(least, "rank").where(place > F.col("place"))
+    return later.select(*_KEY, "pos", F.lit(width).alias("width"), "keep_doc", "keep_hash", "keep_pos")
+
+
+def repeated_runs(docs: DataFrame, least_lines: int = 3, least_words: int = 50) -> DataFrame:
+    """doc, hash, first_line, last_line, keep_doc, keep_line: runs of lines that repeat an earlier one.
+
+    Runs have `least_lines` lines or `least_words` words (separated by white space). Lines are
+    numbered from 0 without blank ones. `hash` tells apart rows of one doc_id with different
+    texts; equal rows are one document. Documents are ranked by doc_id, null last.
+    """
+    lines = _lines(docs)
+    lines = stored(lines.dropDuplicates([*_KEY, "pos"]), "lines")
+    names = lines.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    ranks = lines.join(_ordered(names, ["line"]), "line").select(*_KEY, "pos", "words", "rank")
+    width, found = 1, None
+    while True:
+        ranks = stored(ranks, "suffixes")
+        if found is not None and ranks.isEmpty():
+            break
+        # Windows of one rank have the same lines, hence the same number of words.
+        counting = ranks if width >= least_lines else ranks.where(F.col("words") >= least_words)
+        later = _later(counting, width)
+        found = later if found is None else found.union(later)
+        shift = min(width, least_lines - width) if width < least_lines else width
+        ranks, width = _doubled(ranks, shift), width + shift
+    widest = found.groupBy(*_KEY, "pos").agg(
+        F.max_by(F.struct("width", "keep_doc", "keep_hash", "keep_pos"), "width").alias("w")
+    ).select(*_KEY, "pos", (F.col("pos") + F.col("w.width")).alias("end"), "w.keep_doc", "w.keep_hash", "w.keep_pos")
     order = Window.partitionBy(*_KEY).orderBy("pos")
-    aligned = later.withColumn("shift", F.col("pos") - F.col("keep_pos"))
-    before = F.lag(F.struct("keep_doc", "keep_hash", "shift", (F.col("pos") + 1).alias("pos"))).over(order)
-    opens = ~same(before, F.struct("keep_doc", "keep_hash", "shift", "pos"))
-    run = F.sum(F.coalesce(opens, F.lit(True)).cast("int")).over(order)
-    return aligned.withColumn("opens", opens).withColumn("run", run).groupBy(*_KEY, "run").agg(
-        F.min("pos").alias("first_line"), (F.max("pos") + least_lines - 1).alias("last_line"),
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    aligned = widest.withColumn("reached", reached).where("reached is null or end > reached")
+    aligned = aligned.withColumn("shift", F.col("pos") - F.col("keep_pos"))
+    before = F.lag(F.struct("keep_doc", "keep_hash", "shift")).over(order)
+    goes_on = same(before, F.struct("keep_doc", "keep_hash", "shift")) & (F.col("pos") <= F.col("reached"))
+    run = F.sum((~F.coalesce(goes_on, F.lit(False))).cast("int")).over(order)
+    return aligned.withColumn("run", run).groupBy(*_KEY, "run").agg(
+        F.min("pos").alias("first_line"), (F.max("end") - 1).alias("last_line"),
         F.min_by("keep_doc", "pos").alias("keep_doc"), F.min("keep_pos").alias("keep_line"),
     ).drop("run")
 
@@ -141,13 +162,13 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema)
 
 
-def without_repeated_lines(docs: DataFrame, least_lines: int = 3) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, least_lines: int = 3, least_words: int = 50) -> DataFrame:
     """One row per document: doc_id, n_deleted (lines that are not blank), text that stays, runs.
 
     A null text stays null and an empty one empty, without runs. Rows equal in doc_id and text
     are one document and get equal results; of different documents the least doc_id keeps a run.
     """
-    runs = repeated_runs(docs, least_lines).groupBy(*_KEY).agg(
+    runs = repeated_runs(docs, least_lines, least_words).groupBy(*_KEY).agg(
         F.sort_array(F.collect_list(F.struct(
             F.col("first_line").cast("int").alias("first_line"), F.col("last_line").cast("int").alias("last_line"),
             F.col("keep_doc").alias("keep_doc_id"), F.col("keep_line").cast("int").alias("keep_line"),

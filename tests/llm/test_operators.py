@@ -208,6 +208,24 @@ def test_repeated_line_runs(spark):
     assert found[62].text == "same" and found[1].text is None and found[5].text == LONG
 
 
+def test_repeated_lines_of_many_words(spark):
+    one, two = prose(31, 60), [prose(32, 30), prose(33, 25)]
+    short = [prose(i, 4) for i in range(200, 240)]
+    rows = [
+        (70, one, "a"), (71, one, "a"), (72, "\n".join(["mine", one, "rest"]), "a"),
+        (73, "\n".join(two), "a"), (74, "\n".join(["x", *two, "y"]), "a"), (75, two[0], "a"),
+        (76, "\n".join(short[:3]), "a"), (77, "\n".join(short), "a"), (78, "\n".join(["z", *short]), "a"),
+        (79, "\n".join(short[20:22]), "a"),
+    ]
+    found = {x.doc_id: x for x in line_runs.without_repeated_lines(frame(spark, rows)).collect()}
+    assert [found[i].text for i in (70, 71, 72)] == [one, "", "mine\nrest"]
+    assert [found[i].text for i in (73, 74, 75)] == ["\n".join(two), "x\ny", two[0]]
+    # A run goes back to one document, even if its first three lines stand in an earlier one.
+    assert found[77].text == "\n".join(short[3:]) and found[78].text == "z"
+    assert [tuple(x)[:4] for x in found[78].runs] == [(1, 40, 77, 0)]
+    assert found[79].text == rows[-1][1]
+
+
 def test_main_text():
     page = """<html><head><title>t</title><style>x</style></head><body><nav><a href=/>Home</a></nav>
     <div class="cookie-notice"><p>We use cookies, a lot of them, all over the place.</p></div>
