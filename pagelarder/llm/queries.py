@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pagelarder.llm import (
-    contamination, exact, line_runs, main_text, mixing, odd_sketch, quality, token_shards, unit_dedup, warc,
+    balanced, centroids, contamination, exact, line_runs, main_text, mixing, odd_sketch, periodic, quality,
+    token_shards, unit_dedup, warc,
 )
 from pagelarder.llm.common import table
 
@@ -54,6 +55,19 @@ def op10_near_dedup(spark, sf_dir):
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), similarity=85)
 
 
+def op11_periodic_runs(spark, sf_dir):
+    docs = periodic.repeating_tails(table(spark, sf_dir, "documents"))
+    return periodic.run_report(periodic.without_periodic_runs(docs))
+
+
+def op12_sharding(spark, sf_dir):
+    return balanced.document_shards(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -128,6 +142,65 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM least LEFT JOIN sizes USING (doc_id)
 """
 
+# The CRC of a text is a fold over its bytes, read from their hexadecimal digits, by a table that
+# is computed here, too.
+OP12 = r"""
+WITH steps AS (
+    SELECT b, list_reduce(list_prepend(b, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(b)
+), crc AS (SELECT list(v ORDER BY b) AS t FROM steps
+), bytes AS (
+    SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS h
+    FROM documents
+), sized AS (
+    SELECT doc_id, size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)),
+        lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) AS text_crc32
+    FROM bytes, crc
+), running AS (
+    SELECT *, sum(size) OVER (ORDER BY doc_id NULLS LAST, size, text_crc32 ROWS UNBOUNDED PRECEDING) AS up_to,
+        sum(size) OVER () AS total FROM sized
+), sharded AS (SELECT *, ((2 * up_to - size) * 16 // (2 * total))::INT AS shard FROM running)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY up_to) - 1 AS slot, NULL::INT AS grown_shard
+FROM sharded
+"""
+
+
+def _op13(rounds: int = centroids.ROUNDS) -> str:
+    """k-means in whole numbers: a pair of steps, assignment and means, for each round."""
+    steps = [f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS row, vec_id,
+        list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.WIDTH}
+        AND len(embedding) = {centroids.WIDTH}
+), c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id), v) - 1 AS c, v AS w FROM kept
+    QUALIFY c < {centroids.K}
+)"""]
+    nearest = """, a{n} AS MATERIALIZED (
+    SELECT DISTINCT ON (row) row, vec_id, v, c,
+        list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
+    FROM kept, c{n} ORDER BY row, distance, c
+)"""
+    means = """, c{m} AS MATERIALIZED (
+    SELECT c, coalesce(new.w, c{n}.w) AS w FROM c{n} LEFT JOIN (
+        SELECT c, list((s - ((s % k) + k) % k) // k ORDER BY d)::BIGINT[] AS w FROM (
+            SELECT c, d, sum(v[d]) AS s, count(*) AS k FROM a{n}, range(1, 65) t(d) GROUP BY c, d
+        ) GROUP BY c) new USING (c)
+)"""
+    for n in range(rounds):
+        steps += [nearest.format(n=n), means.format(n=n, m=n + 1)]
+    steps.append(nearest.format(n=rounds))
+    steps.append(f"""
+SELECT vec_id, c::INT AS cluster, distance::BIGINT AS distance,
+    (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)""")
+    return "".join(steps)
+
+
 QUERIES = {
     "op1_decontamination": (op1_decontamination, OP1),
     "op2_html_extraction": (op2_html_extraction, None),
@@ -139,5 +212,8 @@ QUERIES = {
     "op8_warc": (op8_warc, OP8),
     "op9_line_dedup": (op9_line_dedup, None),
     "op10_near_dedup": (op10_near_dedup, OP10),
+    "op11_periodic_runs": (op11_periodic_runs, None),
+    "op12_sharding": (op12_sharding, OP12),
+    "op13_centroid_clustering": (op13_centroid_clustering, _op13()),
     "pipeline": (pipeline, None),
 }
