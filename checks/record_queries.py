@@ -303,7 +303,7 @@ def incremental_sites(spark, sf_dir):
     """Incremental run over all stored pages: recipes by their URL or by a listing's link."""
     folder, checkpoint = shared_folder(spark, "done"), shared_folder(spark, "checkpoint")
     stream = read_stream(spark, stored_pages(spark, sf_dir))
-    start_incremental(stream, folder, checkpoint).awaitTermination()
+    start_incremental(stream, folder, checkpoint, until_empty=False).awaitTermination()
     return flat(recipes(read_done(spark, folder)))
 
 
@@ -321,7 +321,7 @@ def incremental_late_listing(spark, sf_dir):
     pages = stored_pages(spark, sf_dir)
     for at, part in enumerate(("site=[!l]*", "site=listing")):
         stream = read_stream(spark, f"{pages}/{part}")
-        start_incremental(stream, folder, f"{checkpoint}-{at}").awaitTermination()
+        start_incremental(stream, folder, f"{checkpoint}-{at}", until_empty=False).awaitTermination()
     return flat(recipes(read_done(spark, folder)))
 
 

@@ -7,6 +7,7 @@ half of all listings link to costs no more than any other.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 import pyarrow as pa
@@ -163,20 +164,52 @@ def pages_until_empty(
     return kept.filter(F.col("_cut").isNull() | (F.col(page) < F.col("_cut"))).drop("_cut")
 
 
+# Bits that a column of an order takes up in a packed order: whole numbers from 0 of an int, all of a long.
+_BITS = {"int": 31, "bigint": 64}
+
+
+def packed_order(links: DataFrame, order: list[str]) -> Column | None:
+    """One decimal that sorts as the order columns do, null as the least; None where they don't fit."""
+    kinds = dict(links.dtypes)
+    if any(kinds[c] not in _BITS for c in order) or sum(_BITS[kinds[c]] for c in order) > 126:
+        return None
+    packed = F.lit(0).cast("decimal(38,0)")
+    for c in order:
+        value = F.coalesce(F.col(c), F.lit(0)).cast("decimal(19,0)")
+        if kinds[c] == "bigint":
+            value = F.when(F.col(c).isNotNull(), value + F.lit(Decimal(1 << 63))).otherwise(F.lit(Decimal(0)))
+        shift = F.lit(Decimal(1 << _BITS[kinds[c]]))
+        packed = (packed * shift + value).cast("decimal(38,0)")
+    return packed
+
+
 def dedup_links(links: DataFrame, order: list[str], within: tuple[str, ...] = ()) -> DataFrame:
     """One link per URL key, the first one in `order`; with `within`, one per key and group.
 
-    A minimum per key is combined before the shuffle, so each task sends one row per key no
-    matter how often a link is repeated.
+    The order columns are packed into one number, whose minimum per key is a hash aggregate that is
+    combined before the shuffle: each task sends one row per key no matter how often a link is
+    repeated. The first link is then found by key and order together, which no two rows share, so
+    a link that half of all listings repeat is spread over the tasks. `order` must tell the rows of
+    a key apart, and `links` should be stored, as it is read twice.
+
+    Orders that do not fit into 126 bits take the minimum of a struct instead, which sorts.
     """
-    rest = [c for c in links.columns if c not in (*order, *within)]
-    first = F.min(F.struct(*order, *rest)).alias("_first")
-    return (
-        links.withColumn("url_key", url_key(F.col("url")))
-        .groupBy(*within, "url_key")
-        .agg(first)
-        .select("url_key", *[F.col(c) if c in within else F.col("_first")[c].alias(c) for c in links.columns])
-    )
+    links_keyed = links.withColumn("url_key", url_key(F.col("url")))
+    packed = packed_order(links, order)
+    if packed is None:
+        rest = [c for c in links.columns if c not in (*order, *within)]
+        first = F.min(F.struct(*order, *rest)).alias("_first")
+        return links_keyed.groupBy(*within, "url_key").agg(first).select(
+            "url_key", *[F.col(c) if c in within else F.col("_first")[c].alias(c) for c in links.columns]
+        )
+    links_keyed = links_keyed.withColumn("_order", packed)
+    key = [*within, "url_key"]
+    least = links_keyed.groupBy(*key).agg(F.min("_order").alias("_least"))
+    least = least.withColumnsRenamed({c: f"_of_{c}" for c in key})
+    same = links_keyed["_order"] == least["_least"]
+    for c in key:
+        same &= links_keyed[c].eqNullSafe(least[f"_of_{c}"])
+    return links_keyed.join(least, same, "left_semi").select("url_key", *links.columns)
 
 
 def delta(links: DataFrame, done: DataFrame, enabled: bool = False) -> DataFrame:

@@ -61,3 +61,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         raise ValueError(f"set spark.checkpoint.dir or {SHARED} to a folder all executors can reach")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared file system; one that does not exist is fine."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

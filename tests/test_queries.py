@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks import frontier_queries, page_queries, record_queries, text_queries
+from checks import frontier_queries, page_queries, record_queries, state_queries, text_queries
 from checks.compare import difference
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-OWN = [n for m in (text_queries, page_queries, frontier_queries, record_queries) for n in m.QUERIES]
+MODULES = (text_queries, page_queries, frontier_queries, record_queries, state_queries)
+OWN = [n for m in MODULES for n in m.QUERIES]
 
 
 @pytest.mark.parametrize("name", OWN)

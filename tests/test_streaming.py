@@ -1,22 +1,29 @@
 """Incremental runs: the same rows as a batch, nothing twice, late copies skipped."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from pagelarder.operators.conform import recipes, rejects
 from pagelarder.operators.routing import route
-from pagelarder.plans.crawl import chosen_pages
+from pagelarder.plans.crawl import chosen_pages, run
 from pagelarder.plans.extract import extract
 from pagelarder.session import shared_folder
 from pagelarder.streaming.incremental import (
     append_batch,
+    compact,
     distinct_urls,
+    open_state,
     read_done,
     read_links,
+    read_seen,
     read_stream,
+    start_distinct,
     start_incremental,
 )
-from tests.test_sources import INTENSO, PINGO, SAPO, VAQUEIRO
+from pagelarder.streaming.state import State
+from tests.test_sources import INTENSO, PINGO, PORTUGAL, SAPO, VAQUEIRO
 
 LOST = PINGO.replace("instruction-body", "q")
 
@@ -163,3 +170,114 @@ def test_nested_listings_land_in_any_order(spark, landing, order):
     urls = {r.url for r in read_links(spark, out).collect()}
     assert urls == {SAPO_SITE + "/sabores/" + p for p in ("dossier/1", "dossier/2", "receitas/x", "receitas/y")}
     assert read_done(spark, out).count() == 0
+
+
+EMPTY = '{"type":"empty"}'
+POSTS = "http://www.receitasdeportugal.com/?infinity=scrolling&page=%d"
+POST = "http://www.receitasdeportugal.com/receita-%d/"
+
+
+def _posts(*numbers):
+    return '{"type":"success","postflair":{%s}}' % ",".join(f'"{POST % n}":["a"]' for n in numbers)
+
+
+# Pages 1 to 4 of a sequence whose third page is empty; receita-2 stands on both sides of the cut.
+SEQUENCE = [
+    (1, POSTS % 1, _posts(1, 5)),
+    (2, POSTS % 2, _posts(2)),
+    (3, POSTS % 3, EMPTY),
+    (4, POSTS % 4, _posts(2, 3, 4)),
+    *[(10 + n, POST % n, PORTUGAL) for n in (1, 2, 3, 4, 5)],
+]
+CUT_ORDERS = [([4, 5, 6, 7, 8], [3], [2, 1, 0]), ([2], [3, 6, 7], [0, 1, 4, 5, 8])]
+
+
+@pytest.mark.parametrize("order", CUT_ORDERS)
+def test_a_cut_takes_links_back_in_any_order(spark, landing, order):
+    folder, land = landing
+    out, checkpoint = shared_folder(spark, "out"), shared_folder(spark, "checkpoint")
+    for at, batch in enumerate(order):
+        land(*[SEQUENCE[i] for i in batch])
+        start_incremental(read_stream(spark, folder), out, checkpoint, buckets=4).awaitTermination()
+        if at == 1:
+            compact(spark, out)
+    assert {r.url for r in recipes(read_done(spark, out)).collect()} == {POST % n for n in (1, 2, 5)}
+    assert {r.url for r in read_links(spark, out).collect()} == {POST % n for n in (1, 2, 5)}
+
+
+def test_a_batch_run_is_cut_at_the_same_page(spark):
+    pages = spark.createDataFrame(SEQUENCE, "page_id long, url string, html string")
+    runs = spark.createDataFrame([("receitas_portugal", "1", "9", None)],
+                                 "source string, page_start string, page_end string, category string")
+    assert {r.url for r in recipes(run(pages, runs)).collect()} == {POST % n for n in (1, 2, 5)}
+
+
+def test_a_cut_that_lands_late_and_a_link_that_brings_a_page_back(spark, landing):
+    folder, land = landing
+    out, checkpoint = shared_folder(spark, "out"), shared_folder(spark, "checkpoint")
+
+    def run_batch(*rows):
+        land(*rows)
+        start_incremental(read_stream(spark, folder), out, checkpoint, buckets=4).awaitTermination()
+        return {r.url for r in recipes(read_done(spark, out)).collect()}
+
+    assert run_batch(SEQUENCE[0], SEQUENCE[3], *SEQUENCE[4:]) == {POST % n for n in (1, 2, 3, 4, 5)}
+    assert run_batch(SEQUENCE[2]) == {POST % n for n in (1, 5)}
+    rows = open_state(spark, out).read("done").count()
+    assert run_batch(SEQUENCE[1]) == {POST % n for n in (1, 2, 5)}
+    assert open_state(spark, out).read("done").count() == rows  # nothing is extracted again
+
+
+def _files_read(df) -> int:
+    """Files that the scans of an executed query opened."""
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), 0
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+        if node.nodeName().startswith("Scan"):
+            total += node.metrics().apply("numFiles").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_lookups_read_the_buckets_of_their_keys(spark):
+    state = State(spark, shared_folder(spark, "state"), {"t": "url_key string, n int"}, 16)
+    rows = spark.range(2000).selectExpr("concat('u', id) AS url_key", "cast(id AS int) AS n")
+    for part in range(3):
+        state.append("t", rows.where(F.col("n") % 3 == part))
+    one = rows.where("n = 7")
+    whole, found = state.read("t"), state.read("t", one)
+    assert "PartitionFilters: [isnotnull(bucket" in found._jdf.queryExecution().toString()
+    assert _files_read(found) <= 3 < 16 <= _files_read(whole)
+    assert found.where("url_key = 'u7'").count() == 1 and whole.count() == 2000
+    state.replace({"t": whole.drop("bucket")})
+    again = State(spark, state.folder, {"t": "url_key string, n int"})
+    assert again.buckets == 16 and _files_read(again.read("t", one)) == 1 and again.read("t").count() == 2000
+    again.replace({"t": again.read("t").where("n < 10")})
+    assert State(spark, state.folder, {"t": "url_key string, n int"}).read("t").count() == 10
+    with pytest.raises(ValueError):
+        State(spark, state.folder, {"t": "url_key string, n int"}, 8)
+
+
+def test_bounded_duplicate_filter(spark):
+    """Two batches with the same URLs and a third one later, when the stream has forgotten them."""
+    landing, out, checkpoint = (shared_folder(spark, p) for p in ("landing", "urls", "checkpoint"))
+    states = []
+    for batch in range(3):
+        rows = [(f"http://x/{i % 30}#{batch}", "2024-01-01") for i in range(40)] if batch != 1 else [("http://x/new", "2024-01-02")]
+        spark.createDataFrame(rows, "url string, landed string").withColumn(
+            "landed", F.col("landed").cast("timestamp")
+        ).coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema("url string, landed timestamp").parquet(landing)
+        query = start_distinct(stream, out, checkpoint, "1 second", buckets=4)
+        query.awaitTermination()
+        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        time.sleep(2)
+    assert sorted(r.url_key for r in read_seen(spark, out).collect()) == sorted(
+        [f"http://x/{i}" for i in range(30)] + ["http://x/new"]
+    )
+    assert states[1] < states[0] and max(states) <= 31
