@@ -226,12 +226,14 @@ def feed_round_trip(spark, sf_dir):
 
 
 def job_parts(spark, sf_dir):
-    """Three jobs write a part each; jobs 2 to 4 are read, the last of which does not exist."""
+    """Three jobs write a part each; jobs 2 to 4 are read, the last of which does not exist, and an
+    empty range and one without parts, which add nothing."""
     root = shared_folder(spark, "jobs")
     for job, site in enumerate(("pingo_doce", "sapo_sabores", "teleculinaria"), start=1):
         lines = feed_lines(recipes(extract(site_pages(spark, sf_dir, site))))
         lines.select("value").write.text(f"{root}/p/7/{job}")
-    return flat(read_job_parts(spark, root, "p", 7, 2, 4))
+    ranges = [("p", 7, 2, 4), ("p", 7, 3, 2), ("p", 7, 5, 9), ("q", 7, 1, 3)]
+    return flat(combine(*[read_job_parts(spark, root, *r) for r in ranges]))
 
 
 JOB_PARTS_SQL = (
@@ -239,6 +241,27 @@ JOB_PARTS_SQL = (
     f"SELECT * EXCLUDE (source, doc_id, reason) FROM r WHERE reason IS NULL"
 )
 
+
+
+def hooked_records(spark, sf_dir):
+    """Records that pass two hooks in turn: one drops some and names the rest anew, one adds to them."""
+
+    def short_names(records):
+        return records.filter(F.length("name") < 40).withColumn("name", F.concat(F.lit("* "), "name"))
+
+    def with_count(records):
+        return records.withColumn("servings", F.concat("name", F.lit(" / "), F.size("steps").cast("string")))
+
+    found = recipes(extract(site_pages(spark, sf_dir, "vaqueiro")), [short_names, with_count])
+    return flat(found).select("url", "name", "servings")
+
+
+HOOKED_RECORDS_SQL = (
+    f"WITH {sql.DOCS}, r AS ({sql.all_records(['vaqueiro'], CATEGORY_SQL)}) "
+    "SELECT url, '* ' || name AS name, '* ' || name || ' / ' || n_steps AS servings FROM r "
+    "WHERE reason IS NULL AND length(name) < 40"
+)
+
 # A source of the users' own, over the raw pages.
 
 
@@ -354,6 +377,7 @@ QUERIES = {
     "run_new_records": (run_new_records, RUN_NEW_RECORDS_SQL),
     "feed_round_trip": (feed_round_trip, CONFORMED_RECORDS_SQL),
     "job_parts": (job_parts, JOB_PARTS_SQL),
+    "hooked_records": (hooked_records, HOOKED_RECORDS_SQL),
     "custom_source": (custom_source, CUSTOM_SOURCE_SQL),
     "incremental_run": (incremental_run, CUSTOM_SOURCE_SQL),
     "incremental_late_listing": (incremental_late_listing, INCREMENTAL_SITES_SQL),

@@ -173,24 +173,26 @@ amount || ' de ' || name AS of_name FROM n"""
 
 
 def membership(spark, sf_dir):
-    value = F.substr(
-        F.lit("Vegetarianao vegan"),
-        (F.col("p_partkey") % 12 + 1).cast("int"),
-        (F.col("p_size") % 7).cast("int"),
-    )
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return part.select("p_partkey", value.alias("value")).select(
-        "p_partkey",
-        text.part_of(F.col("value"), "Vegetariana").alias("part_of_a"),
-        text.part_of(F.col("value"), "Vegetariano").alias("part_of_o"),
-        F.col("value").isin("vegetariana", "vegan", "e").alias("exact"),
+    """Words of each document that are a part of a word, and those that are one of a list."""
+    words = F.split("text", " ")
+
+    def count(test):
+        return F.size(F.filter(words, test)).cast("long")
+
+    return all_documents(spark, sf_dir).select(
+        "doc_id",
+        count(lambda w: text.part_of(w, "anderen")).alias("part_of_a"),
+        count(lambda w: text.part_of(w, "enterrado")).alias("part_of_b"),
+        count(lambda w: w.isin("the", "der", "de", "und")).alias("exact"),
+        text.part_of(F.col("lang"), "defensive").alias("lang_part"),
     )
 
 
-MEMBERSHIP_SQL = """WITH v AS (SELECT p_partkey,
-substr('Vegetarianao vegan', p_partkey % 12 + 1, p_size % 7) AS value FROM part)
-SELECT p_partkey, contains('Vegetariana', value) AS part_of_a, contains('Vegetariano', value) AS part_of_o,
-value IN ('vegetariana', 'vegan', 'e') AS exact FROM v"""
+MEMBERSHIP_SQL = """WITH w AS (SELECT doc_id, lang, string_split(text, ' ') AS w FROM documents)
+SELECT doc_id, len(list_filter(w, lambda x: contains('anderen', x))) AS part_of_a,
+len(list_filter(w, lambda x: contains('enterrado', x))) AS part_of_b,
+len(list_filter(w, lambda x: x IN ('the', 'der', 'de', 'und'))) AS exact,
+contains('defensive', lang) AS lang_part FROM w"""
 
 
 def list_positions(spark, sf_dir):

@@ -223,12 +223,18 @@ def delta(links: DataFrame, done: DataFrame, enabled: bool = False) -> DataFrame
     return links.join(keys, "url_key", "left_anti")
 
 
+def with_url_key(pages: DataFrame) -> DataFrame:
+    """Pages with their `url_key`, which a snapshot has stored."""
+    return pages if "url_key" in pages.columns else pages.withColumn("url_key", url_key(F.col("url")))
+
+
 def first_copies(pages: DataFrame) -> DataFrame:
     """(url_key, page_id): the first stored copy of each URL.
 
-    Reads `page_id` and `url` only. Copies collapse before the shuffle.
+    Reads `page_id` and `url` only, or the `url_key` of a snapshot. Copies collapse before the
+    shuffle.
     """
-    keys = pages.select(url_key(F.col("url")).alias("url_key"), "page_id")
+    keys = with_url_key(pages).select("url_key", "page_id")
     return keys.groupBy("url_key").agg(F.min("page_id").alias("page_id"))
 
 
@@ -237,6 +243,6 @@ def missing_listings(
 ) -> DataFrame:
     """Expected listing pages that the snapshot does not hold. Only listings are compared."""
     listings = pages.filter(is_listing(F.col("url"), specs))
-    keys = listings.select(url_key(F.col("url")).alias("url_key"))
+    keys = with_url_key(listings).select("url_key")
     with_key = expected.withColumn("url_key", url_key(F.col("url")))
     return with_key.join(keys, "url_key", "left_anti").drop("url_key")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelarder.functions.urls import url_key
-from pagelarder.operators.frontier import is_listing
+from pagelarder.operators.frontier import is_listing, with_url_key
 from pagelarder.sources.spec import SourceSpec, registered_sources
 
+if TYPE_CHECKING:
+    from pagelarder.sources.url_index import UrlIndex
+
 RECIPE, LISTING, OTHER = "recipe", "listing", "other"
 
 
@@ -41,14 +45,19 @@ def allowed_recipe(url: Column, source: Column, specs: list[SourceSpec] | None =
     return allowed
 
 
-def discovered(pages: DataFrame, links: DataFrame, carry: list[str]) -> DataFrame:
+def discovered(
+    pages: DataFrame, links: DataFrame, carry: list[str], index: UrlIndex | None = None
+) -> DataFrame:
     """Ids of the pages that `links` name, with columns of the link.
 
-    Works on ids and keys only. Pages that no link names leave before copies are collapsed. A
-    key has one page and a link for each run that has it.
+    Works on ids and keys only. With an index of the pages only the buckets of the links are
+    read; else pages that no link names leave before copies are collapsed. A key has one page and
+    a link for each run that has it.
     """
     links = links.select("url_key", *carry)
-    keyed = pages.select("page_id", "url").withColumn("url_key", url_key(F.col("url")))
+    if index is not None:
+        return index.lookup(links).join(links, "url_key").drop("url_key")
+    keyed = with_url_key(pages).select("page_id", "url_key")
     named = keyed.join(links.select("url_key").distinct(), "url_key", "left_semi")
     first = named.groupBy("url_key").agg(F.min("page_id").alias("page_id"))
     return first.join(links, "url_key").drop("url_key")

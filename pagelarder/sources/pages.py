@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagelarder.operators.frontier import with_url_key
 from pagelarder.operators.routing import route
 from pagelarder.schema import PAGES
 from pagelarder.sources.spec import SourceSpec
@@ -25,9 +26,10 @@ def save_snapshot(
 
     Listing scans then skip recipe pages, and picking pages by id does not shuffle bodies.
     Choose `buckets` so that a bucket of the largest kind is a few hundred megabytes. Rows are
-    distributed by page id first, so each task writes one file per kind and bucket.
+    distributed by page id first, so each task writes one file per kind and bucket. The key of
+    each URL is stored, so that finding pages computes none; `save_url_index` sorts those keys.
     """
-    routed = route(pages, specs).repartition(buckets, "page_id")
+    routed = route(with_url_key(pages), specs).repartition(buckets, "page_id")
     writer = (
         routed.write.mode("errorifexists")
         .partitionBy("kind")

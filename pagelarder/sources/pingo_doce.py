@@ -14,10 +14,7 @@ from pagelarder.sources.spec import JSON_HTML, Links, SourceSpec, register_sourc
 
 # Fixed values of the site.
 RECIPE_PREFIX = "https://www.pingodoce.pt/receitas"
-LISTING = (
-    "https://www.pingodoce.pt/wp-content/themes/pingodoce/ajax/pd-ajax.php"
-    "?type=recipe&page=%s&query=&filters=&action=custom-search"
-)
+LISTING = "https://www.pingodoce.pt/wp-content/themes/pingodoce/ajax/pd-ajax.php?type=recipe&page=%s&query=&filters=&action=custom-search"
 VEGAN = ("vegetariana", "vegan")
 
 

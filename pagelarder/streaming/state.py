@@ -11,9 +11,10 @@ with, which is kept until the next compaction.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagelarder.operators.buckets import bucket_of, in_buckets
 from pagelarder.session import drop_folder
 
 BUCKETS = 32
@@ -28,20 +29,6 @@ def read_or_empty(spark: SparkSession, folder: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def bucket_of(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def in_buckets(table: DataFrame, keys: DataFrame, buckets: int) -> DataFrame:
-    """The rows of a bucketed table that lie in a bucket of one of the keys.
-
-    The numbers of the buckets come to the driver, at most one for each bucket, so that the
-    scan lists and opens those alone.
-    """
-    touched = keys.select(bucket_of(F.col("url_key"), buckets).alias("b")).distinct().collect()
-    return table.where(F.col("bucket").isin([r.b for r in touched]))
-
-
 class State:
     """The tables below one folder; the first run fixes the number of buckets."""
 

@@ -10,7 +10,6 @@ from pagelarder.schema import RECIPES
 from pagelarder.session import shared_folder
 from pagelarder.sources.feed import (
     feed_lines,
-    job_part_paths,
     parse_feed,
     read_job_parts,
     read_recipes,
@@ -61,8 +60,20 @@ def test_job_parts(spark, records):
     found = read_job_parts(spark, root, "p", 2, 13, 15)
     assert {r.url.split("-")[0] for r in found.collect()} == {"13", "15"}
     assert found.count() == 6
-    with pytest.raises(ValueError):
-        job_part_paths(root, "p", 2, 5, 4)
+    for nothing in (("p", 2, 15, 13), ("p", 2, 17, 40), ("p", 3, 1, 99), ("none", 2, 13, 15)):
+        assert read_job_parts(spark, root, *nothing).isEmpty()
+    assert read_job_parts(spark, root, "p", 2, 0, 10**12).count() == 9
+    one, both = (_files(read_job_parts(spark, root, "p", 2, 13, n)) for n in (13, 15))
+    assert both == 2 * one > 0
+
+
+def _files(df) -> int:
+    """Files that the scan of a query opens, after those of other jobs have been left out."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while not node.nodeName().startswith("Scan"):
+        node = node.children().apply(0)
+    return node.metrics().apply("numFiles").value()
 
 
 def test_key_order_of_maps_is_numeric(spark):

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from checks.render import SITES, runs, stored_pages
 from pagelarder.operators.conform import recipes, rejects
-from pagelarder.operators.frontier import first_copies, is_listing
-from pagelarder.operators.routing import fetch
+from pagelarder.operators.frontier import dedup_links, first_copies, is_listing, packed_order
+from pagelarder.operators.routing import discovered, fetch
 from pagelarder.plans.crawl import chosen_pages, listing_pages, run
 from pagelarder.plans.extract import extract
 from pagelarder.session import shared_folder
 from pagelarder.sources.pages import read_pages, save_snapshot
+from pagelarder.sources.url_index import read_url_index, save_url_index
+from tests.test_streaming import SAPO, SAPO_SITE, _files_read, _listing
 
 SF = "/root/testdata/sf0.001"
 
@@ -108,3 +110,48 @@ def test_a_run_on_a_snapshot_gives_the_same_records(spark, stored):
 def test_chosen_pages_are_unique(spark, stored):
     chosen = chosen_pages(stored, runs(spark, SF))
     assert chosen.count() == chosen.select("page_id").distinct().count() > len(SITES)
+
+
+def test_links_are_made_unique_by_hash(spark):
+    rows = [(1, 7, "http://x/a#1"), (1, 3, "http://x/a"), (-5, 9, "http://x/a#2"), (2, 0, "http://X/b"), (None, 4, "http://x/b")]
+    links = spark.createDataFrame(rows, "page_id long, pos int, url string")
+    found = dedup_links(links, ["page_id", "pos"])
+    assert "SortAggregate" not in plan(found)
+    assert {(r.url_key, r.page_id, r.pos) for r in found.collect()} == {("http://x/a", -5, 9), ("http://x/b", None, 4)}
+    wide = spark.createDataFrame([(1, 2, 3, "http://x/a")], "a long, b long, c long, url string")
+    assert packed_order(wide, ["a", "b", "c"]) is None and dedup_links(wide, ["a", "b", "c"]).count() == 1
+    numbers = [None, -(1 << 63), -1, 0, 1, (1 << 63) - 1]
+    pairs = spark.createDataFrame([(a, b) for a in numbers for b in (0, 1, (1 << 31) - 1)], "a long, b int")
+    packed = pairs.select("a", "b", packed_order(pairs, ["a", "b"]).alias("p")).collect()
+    order = sorted(packed, key=lambda r: (r.p, (-(1 << 64)) if r.a is None else r.a))
+    assert [(r.a, r.b) for r in order[6:]] == [(a, b) for a in numbers[2:] for b in (0, 1, (1 << 31) - 1)]
+
+
+def test_an_index_finds_pages_without_computing_keys(spark, stored):
+    table = "snapshot_" + shared_folder(spark, "t").rsplit("-", 1)[-1]
+    save_snapshot(stored, table, buckets=3)
+    snapshot = spark.table(table)
+    assert "url_key" in snapshot.columns and "regexp" not in plan(first_copies(snapshot))
+    save_url_index(snapshot, folder := shared_folder(spark, "index"), 16)
+    index = read_url_index(spark, folder)
+    assert index.table().count() == stored.select("url").distinct().count()
+    links = index.table().select("url_key").limit(1)
+    found = discovered(snapshot, links, [], index)
+    text = plan(found)
+    assert "regexp" not in text and "PartitionFilters: [isnotnull(bucket" in text
+    assert "In(url_key" in text or "EqualTo(url_key" in text
+    assert found.count() == 1 and _files_read(index.lookup(links)) == 1 < _files_read(index.table())
+
+
+def test_rounds_read_the_buckets_of_their_links(spark):
+    """A chain of dossiers: a run with an index reaches the same pages as one without."""
+    site = SAPO_SITE + "/sabores/"
+    pages = [(1, SAPO_SITE + "/pesquisar?pagina=1&q=&filtro=receitas", _listing("/sabores/dossier/0"))]
+    for n in range(4):
+        pages.append((10 + n, f"{site}dossier/{n}", _listing(f"/sabores/dossier/{n + 1}", f"/sabores/receitas/{n}")))
+        pages.append((50 + n, f"{site}receitas/{n}", SAPO))
+    table = spark.createDataFrame(pages + [(99, site + "receitas/none", SAPO)], "page_id long, url string, html string")
+    wanted = spark.createDataFrame([("sapo_sabores", "1", "1", None)],
+                                   "source string, page_start string, page_end string, category string")
+    index = save_url_index(table, shared_folder(spark, "index"), 8)
+    assert sorted(r.page_id for r in chosen_pages(table, wanted, index=index).collect()) == [50, 51, 52, 53]
