@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagelarder import session
+
 # Characters that separate words, as a character class of Java and RE2 expressions.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,16 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the one all executors share, which spark.checkpoint.dir names.
+    """A new folder below the one all executors share (see `session.shared_folder`).
 
-    Only a session on one machine may leave it unset; it then gets a temporary folder.
+    Only a session on one machine may name none; it then gets one temporary folder for all.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="shared-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(session.SHARED, None)
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.conf.set(session.SHARED, tempfile.mkdtemp(prefix="shared-"))
+    return session.shared_folder(spark, purpose)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -38,10 +37,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     This cuts the lineage, fixes what a retry could number differently, and gives the planner
     the true size of the table.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark, purpose)
+    return stored_at(df, shared_folder(df.sparkSession, purpose))
+
+
+def stored_at(df: DataFrame, folder: str) -> DataFrame:
+    """As `stored`, in a folder that the caller drops when it is done with the table."""
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores as make it differ from all columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, limit: int = 32 << 20) -> DataFrame:

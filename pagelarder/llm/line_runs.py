@@ -24,7 +24,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagelarder.llm.common import SPACE, same, stored
+from pagelarder.llm.common import SPACE, same, shared_folder, stored, stored_at
+from pagelarder.session import drop_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -51,15 +52,18 @@ def _ordered(pairs: DataFrame, order: list[str]) -> DataFrame:
     return stored(rows.withColumn("rank", F.monotonically_increasing_id()), "ranks")
 
 
-def _doubled(ranks: DataFrame, shift: int) -> DataFrame:
-    """Sort suffixes by (rank at pos, rank at pos + shift); those of no repeated pair leave."""
+def _doubled(ranks: DataFrame, shift: int, folder: str) -> DataFrame:
+    """Sort suffixes by (rank at pos, rank at pos + shift); those of no repeated pair leave.
+
+    The pairs are written to `folder`, which the caller drops when the ranks are stored.
+    """
     none = F.lit(None).cast("long")
     here = ranks.select(*_KEY, "pos", F.col("rank").alias("r1"), none.alias("r2"), "words")
     there = ranks.select(*_KEY, (F.col("pos") - shift).alias("pos"), none, F.col("rank"), "words")
     both = here.union(there).groupBy(*_KEY, "pos").agg(
         F.max("r1").alias("r1"), F.max("r2").alias("r2"), F.sum("words").alias("words")
     )
-    both = stored(both.where("r1 is not null and r2 is not null"), "pairs")
+    both = stored_at(both.where("r1 is not null and r2 is not null"), folder)
     pairs = both.groupBy("r1", "r2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     return both.join(_ordered(pairs, ["r1", "r2"]), ["r1", "r2"]).select(*_KEY, "pos", "words", "rank")
 
@@ -90,17 +94,22 @@ def repeated_runs(docs: DataFrame, least_lines: int = 3, least_words: int = 50)
     lines = stored(lines.dropDuplicates([*_KEY, "pos"]), "lines")
     names = lines.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     ranks = lines.join(_ordered(names, ["line"]), "line").select(*_KEY, "pos", "words", "rank")
-    width, found = 1, None
+    width, found, spark = 1, None, docs.sparkSession
+    folder = shared_folder(spark, "line-runs")
     while True:
-        ranks = stored(ranks, "suffixes")
+        ranks = stored_at(ranks, f"{folder}/suffixes-{width}")
+        # What the round before has left is read no more: its ranks, and the pairs made of them.
+        drop_folder(spark, f"{folder}/pairs")
+        if width > 1:
+            drop_folder(spark, f"{folder}/suffixes-{before}")
         if found is not None and ranks.isEmpty():
             break
         # Windows of one rank have the same lines, hence the same number of words.
         counting = ranks if width >= least_lines else ranks.where(F.col("words") >= least_words)
-        later = _later(counting, width)
+        later = stored(_later(counting, width), "later")
         found = later if found is None else found.union(later)
         shift = min(width, least_lines - width) if width < least_lines else width
-        ranks, width = _doubled(ranks, shift), width + shift
+        ranks, before, width = _doubled(ranks, shift, f"{folder}/pairs"), width, width + shift
     widest = found.groupBy(*_KEY, "pos").agg(
         F.max_by(F.struct("width", "keep_doc", "keep_hash", "keep_pos"), "width").alias("w")
     ).select(*_KEY, "pos", (F.col("pos") + F.col("w.width")).alias("end"), "w.keep_doc", "w.keep_hash", "w.keep_pos")

@@ -25,6 +25,7 @@ from pagelarder.llm.common import WORD, same, stored
 WEIGHTS = (3, 1, 2)
 _BINS, _LEVELS = 1024, 3
 _SCALE = _BINS**_LEVELS
+_PICKS = 256
 
 
 def word_count(text: Column) -> Column:
@@ -112,17 +113,28 @@ def _solved(histogram: DataFrame, goals: DataFrame, most: float, tolerance: floa
         state = stored(step.drop("taken", "slope", "was_met"), "dual")
         if state.where(~F.col("met")).isEmpty():
             break
+    else:
+        raise RuntimeError("the rates of some sources don't meet their targets")
     # Sums of doubles depend on their order in the last digits; reruns must not.
     return state.select("source", "mean", F.round("lam", 7).alias("lam"))
 
 
 def rated(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """`docs` with _size, _source_size, _target and _copies, a whole number from 0 to `most`.
+    Columns of `docs` with one of these four names are replaced; no other name matters.
 
     A null text has no words. A null source is a source of its own, the last. Documents without
     words have rate 1 and are taken once. Repeated rows get equal copies. An empty table stays
     empty. Reruns give the same copies.
     """
+    taken = {"_size", "_source_size", "_target", "_copies"}
+    rows = _rated(docs, weights, share, most)
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in taken]
+    return rows.select(*kept, "_size", "_source_size", "_target", "_copies")
+
+
+def _rated(docs: DataFrame, weights, share: float, most: float) -> DataFrame:
+    """`row` (all columns of a document, so that no name can clash), _size, _source_size, _target, _copies."""
     if not 1 <= most == int(most):
         raise ValueError("most must be a whole number, 1 or more")
     size = word_count(F.col("text"))
@@ -161,12 +173,16 @@ def rated(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.
     counts = stored(counts, "points")
     cuts = _filled(counts, _cuts(counts))
     plan = stored(plan.join(cuts, same(plan._source, cuts.cut_source), "left").drop("cut_source"), "plan")
-    rows = docs.withColumns({"_size": size, "_u": F.xxhash64("doc_id", "text")})
-    rows = placed(rows.join(plan, same(rows["source"], plan["_source"])), "_size", "_u")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").alias("_of"),
+        size.alias("_size"), F.xxhash64("doc_id", "text").alias("_u"),
+    )
+    rows = placed(rows.join(plan, same(rows["_of"], plan["_source"])), "_size", "_u")
     chosen = (F.col("_point") < F.col("_cut")) | F.array_contains("_fill", F.col("_point"))
     extra = F.coalesce(chosen.cast("int"), F.lit(0))
-    rows = rows.withColumn("_copies", F.col("_whole") + extra)
-    return rows.drop("_source", "_mean", "_lam", "_whole", "_point", "_cut", "_fill", "_u")
+    return rows.select(
+        "row", "_size", "_source_size", "_target", (F.col("_whole") + extra).alias("_copies")
+    )
 
 
 def _cuts(counts: DataFrame) -> DataFrame:
@@ -201,31 +217,39 @@ def _cuts(counts: DataFrame) -> DataFrame:
     return state.select("cut_source", F.col("low").alias("_cut"), "missing")
 
 
-def _filled(counts: DataFrame, cuts: DataFrame, picks: int = 3) -> DataFrame:
-    """Add `_fill`, up to `picks` points beyond the cut whose words fill the gap that is left.
+def _filled(counts: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Add `_fill`, points beyond the cut whose words fill the gap that is left.
 
-    The document at the cut may be longer than the gap. Each pick is the point with most words
-    among those that still fit.
+    The document at the cut may be longer than the gap. A round looks at the _PICKS points of a
+    source with most words among those that still fit, and takes them in that order as long as
+    their sum fits, which is one point at least. Rounds go on until no point of any source fits.
     """
     state = cuts.withColumn("_fill", F.expr("cast(array() as array<bigint>)"))
-    for _ in range(picks):
+    picked, picks = None, 0
+    while picked != 0:
         fits = counts.join(state, same(counts._source, state.cut_source)).where(
             (F.col("point") >= F.col("_cut")) & (F.col("words") <= F.col("missing")) & (F.col("words") > 0)
             & ~F.array_contains("_fill", F.col("point"))
         )
-        best = fits.groupBy(F.col("cut_source").alias("b")).agg(
-            F.max("words").alias("words"), F.max_by("point", F.col("words") * _SCALE + F.col("point")).alias("pick")
+        largest = Window.partitionBy("cut_source").orderBy(F.desc("words"), F.desc("point"))
+        best = fits.withColumn("nth", F.row_number().over(largest)).where(F.col("nth") <= _PICKS)
+        best = best.withColumn("up_to", F.sum("words").over(largest.rowsBetween(Window.unboundedPreceding, 0)))
+        best = best.where("up_to <= missing").groupBy(F.col("cut_source").alias("b")).agg(
+            F.sum("words").alias("words"), F.collect_list("point").alias("points")  # at most _PICKS
         )
         state = state.join(best, same(state.cut_source, best.b), "left").select(
             "cut_source", "_cut", (F.col("missing") - F.coalesce("words", F.lit(0))).alias("missing"),
-            F.when(F.col("b").isNull(), F.col("_fill")).otherwise(F.array_append("_fill", F.col("pick"))).alias("_fill"),
+            F.when(F.col("b").isNull(), F.col("_fill")).otherwise(F.concat("_fill", "points")).alias("_fill"),
         )
         state = stored(state, "fill")
+        total = state.agg(F.sum(F.size("_fill"))).first()[0] or 0
+        picked, picks = total - picks, total
     return state.drop("missing")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix: each document as often as it is taken, with its own columns."""
-    columns = docs.columns
-    rows = rated(docs, **options).where("_copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*columns)
+    options = {"weights": WEIGHTS, "share": 1.5, "most": 2.0} | options
+    rows = _rated(docs, **options).where("_copies > 0")
+    rows = rows.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])

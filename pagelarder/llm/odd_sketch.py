@@ -4,7 +4,7 @@
    folded into a bitmap of parities, an odd sketch (Mitzenmacher, Pagh, Pham, 2014): the number
    of ones in the XOR of two bitmaps estimates how many values differ, best at high similarity.
    At a similarity of 0.85 no band agrees with a probability of 6e-11 (at 0.8: 5e-8).
-2. Texts with the same words form one class; only its first document goes on.
+2. Texts with the same words form one class, which has a number; only one of its texts goes on.
 3. Every bucket of a band compares its members with one of them, its leader. Sketches drop
    false candidates and gather similar documents in loose clusters. Where some members of a
    bucket are unlike the leader, those and the ones not close to it are compared with each other
@@ -78,7 +78,7 @@ def _bitmaps(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
 
 
-SIGNED = "doc_id long, n_shingles long, words binary, bands array<long>, sketch binary"
+SIGNED = "doc_id long, hash long, n_shingles long, words binary, bands array<long>, sketch binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,9 +100,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     bands.append(None)
                     sketches.append(None)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
+                [part.column(0), part.column(2), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n_shingles", "words", "bands", "sketch"],
+                names=["doc_id", "hash", "n_shingles", "words", "bands", "sketch"],
             )
 
 
@@ -222,6 +222,16 @@ def _linked(members: DataFrame, similarity: int) -> DataFrame:
     )
 
 
+def _shared_ids(spoken: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of the rows of one doc_id. Few ids have more than one."""
+    of = classes.select(F.col("words").alias("of"), "id")
+    rows = spoken.select("doc_id", "words").distinct()
+    several = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    rows = rows.join(several, "doc_id").join(of, F.col("words") == F.col("of")).select("doc_id", "id")
+    first = rows.groupBy("doc_id").agg(F.min("id").alias("a"))
+    return rows.join(first, "doc_id").where("id > a").select("a", F.col("id").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, similarity: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -232,13 +242,18 @@ def near_duplicates(docs: DataFrame, similarity: int = 80) -> DataFrame:
     Rows that share a doc_id are one document: they carry the links of each of them, and stay or
     go together. Rows with a null doc_id are linked with nothing and kept, with a null component.
     """
-    signed = stored(docs.select("doc_id", "text").mapInArrow(_sign, SIGNED), "signed")
+    signed = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).mapInArrow(_sign, SIGNED)
+    signed = stored(signed, "signed")
     spoken = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(spoken.groupBy("words").agg(F.min("doc_id").alias("rep")), "classes")
-    firsts = spoken.join(classes, (spoken.words == classes.words) & (spoken.doc_id == classes.rep))
-    firsts = stored(
-        firsts.select(F.col("rep").alias("id"), "bands", "sketch").dropDuplicates(["id"]), "firsts"
-    )
+    # A class is told by its words; rows of one doc_id with different words are in several.
+    classes = spoken.groupBy("words").agg(F.min("doc_id").alias("rep"))
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    known = classes.withColumnRenamed("words", "of")
+    firsts = spoken.join(known, (spoken.words == known["of"]) & (spoken.doc_id == known.rep))
+    # Rows of a class with one doc_id differ in white space only; one of them gives the text.
+    firsts = stored(firsts.select("id", "rep", "hash", "bands", "sketch"), "firsts")
+    one = firsts.groupBy("id", "rep").agg(F.min("hash").alias("hash"))
+    firsts = stored(firsts.join(one, ["id", "rep", "hash"]).dropDuplicates(["id"]), "firsts")
 
     rows = firsts.select("id", F.explode("bands").alias("key"))
     leaders = rows.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
@@ -263,17 +278,21 @@ def near_duplicates(docs: DataFrame, similarity: int = 80) -> DataFrame:
     sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
     members = clusters.select(F.col("node").alias("id"), "component").join(sketches, "id")
     members = stored(members, "members")
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    texts = docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("hash"), "text")
+    texts = texts.join(firsts.select("id", "rep", "hash"), ["rep", "hash"])
     sets = members.join(texts, "id").select("id", "component", "sketch", "text")
     sets = sets.mapInArrow(_shingle_sets, "id long, component long, sketch binary, members binary")
     links = _linked(_in_blocks(sets, "component", sizes), similarity)
-    found = stored(components(links), "components")
+    found = stored(components(links.unionByName(_shared_ids(spoken, classes))), "components")
 
-    named = classes.join(found, classes.rep == found.node, "left")
-    named = named.select(F.col("words").alias("of"), F.coalesce("component", "rep").alias("component"))
+    # A component has the least doc_id of its classes.
+    named = classes.join(found, classes.id == found.node, "left")
+    named = stored(named.select("words", "rep", F.coalesce("component", "id").alias("group")), "named")
+    least = named.groupBy("group").agg(F.min("rep").alias("component"))
+    named = named.join(least, "group").select(F.col("words").alias("of"), "component")
     known = signed.select("doc_id", "n_shingles", "words")
     result = known.join(named, known.words == named["of"], "left")
-    # A row of a doc_id whose other rows are linked elsewhere follows the least of them.
+    # Rows without words are linked with nothing.
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return result.select(
         "doc_id", "n_shingles", component.alias("component_id"),

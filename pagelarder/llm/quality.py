@@ -5,9 +5,8 @@ Chunks of 512 bytes overlap by half; in each the responses of a filter are max-p
 and the mean of the chunks' vectors go through a hidden layer to one probability.
 
 Training runs on the driver on at most `rows` labelled documents, picked by a hash of their ids,
-of which at most 16 KB each are used (evenly spaced pieces; of texts of over 64 K characters
-their two ends). That sample is the only bound;
-scoring reads every byte of every text, in blocks of bounded size.
+of which at most 16 KB each are used: all of a shorter text, of others pieces at even distances
+over the whole text, taken in the tasks. That sample is the only bound; scoring reads every byte of every text, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -22,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagelarder.llm.common import free_name
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DIMS, STRIDE, FILTERS, HIDDEN = 8, 4, 32, 16
@@ -149,15 +150,16 @@ def _excerpt(text: str | None) -> np.ndarray:
     return np.concatenate([halves[i : i + 2] for i in at])
 
 
-def train(texts: list[str | None], labels: list[int], seed: int = 6) -> dict[str, np.ndarray]:
-    """Weights learned by Adam. With labels of one kind only, or none, a constant score results."""
+def train(excerpts: list[bytes], labels: list[int], seed: int = 6) -> dict[str, np.ndarray]:
+    """Weights learned by Adam from the half chunks of `_excerpt`. With labels of one kind only, or none, a constant score results."""
     w = new_weights(seed)
     rate = (sum(labels) + 1) / (len(labels) + 2)
     w["out_bias"][0] = np.log(rate / (1 - rate))
     if len(set(labels)) < 2:
         w["out"][:] = 0
         return w
-    docs, y = [_excerpt(t) for t in texts], np.array(labels, np.float32)
+    docs = [np.frombuffer(x, np.uint8).reshape(-1, HALF) for x in excerpts]
+    y = np.array(labels, np.float32)
     moment = {k: np.zeros_like(v) for k, v in w.items()}
     square = {k: np.zeros_like(v) for k, v in w.items()}
     r, order = np.random.default_rng(seed), np.empty(0, int)
@@ -194,11 +196,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
-    bytes_of = F.expr(f"CASE WHEN length(text) > {4 * TRAIN_BYTES} THEN concat_ws('', "
-                      f"substring(text, 1, {TRAIN_BYTES}), substring(text, -{TRAIN_BYTES})) ELSE text END")
-    sample = training_rows(docs, labels, rows).select("_id", bytes_of.alias("text"), "label")
-    found = sorted(sample.collect())  # bounded by rows and bytes
-    return train([r.text for r in found], [r.label for r in found])
+    sample = training_rows(docs, labels, rows).select("_id", "label", "text")
+    sample = sample.mapInArrow(_excerpts, "_id long, label int, excerpt binary")
+    found = sorted(sample.collect())  # at most `rows` rows of TRAIN_BYTES
+    return train([r.excerpt for r in found], [r.label for r in found])
+
+
+def _excerpts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace each text by the bytes that are learned from, by one rule for all lengths."""
+    for batch in batches:
+        cut = [_excerpt(text.as_py()).tobytes() for text in batch.column(2)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int32()), pa.array(cut, pa.binary())],
+            names=["_id", "label", "excerpt"],
+        )
 
 
 def scored(docs: DataFrame, weights: dict, column: str = "score") -> DataFrame:
@@ -227,5 +238,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the classifier predicts to be of quality 1, with all their columns."""
-    rows = scored(docs, fit(docs, labels), "_score")
-    return rows.where(F.col("_score") >= THRESHOLD).drop("_score")
+    score = free_name(docs, "_score")
+    rows = scored(docs, fit(docs, labels), score)
+    return rows.where(F.col(score) >= THRESHOLD).drop(score)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import sys
 import uuid
 from collections.abc import Iterator
@@ -39,6 +40,8 @@ cloudpickle.register_pickle_by_value(common)
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # How the vocabulary's text is cut before merging: a fixed value that belongs to the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# White space as the pattern has it, in runs too long to be matched by it.
+_LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 END = 50256
 LENGTH, SHARD_SEQUENCES, ROUNDS = 1024, 8192, 6
 _PIECE = np.dtype([("slot", "<i8"), ("doc", "<i8"), ("at", "<i4"), ("n", "<i4")])
@@ -58,8 +61,19 @@ def encoder(vocabulary: str):
 
 
 def encode(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:
-    """Token ids of a text and the end token; a null or empty text is the end token alone."""
-    found = encoder(vocabulary).encode_ordinary(text or "")
+    """Token ids of a text and the end token; a null or empty text is the end token alone.
+
+    The pattern cuts a run of white space where it begins, and before its last character if
+    something follows. What lies between is one piece to merge. Long runs are cut out there
+    beforehand, as matching them needs a stack as deep as they are long; the ids are the same.
+    """
+    coder, text, found, at = encoder(vocabulary), text or "", [], 0
+    for run in _LONG_RUN.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        found += coder.encode_ordinary(text[at : run.start()])
+        found += coder._encode_single_piece(text[run.start() : stop].encode())
+        at = stop
+    found += coder.encode_ordinary(text[at:])
     found.append(END)
     return np.array(found, np.uint16)
 

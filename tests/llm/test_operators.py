@@ -10,6 +10,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pagelarder.llm import (
     contamination, exact, line_runs, main_text, mixing, odd_sketch, quality, shingles, token_shards,
@@ -118,6 +119,84 @@ def test_near_duplicates_against_all_pairs(spark):
     assert [tuple(x)[2:] for x in found if x.doc_id is None] == [(None, True)] * 2
 
 
+def test_rows_of_one_id_carry_the_links_of_each(spark):
+    a, b = prose(91, 60), prose(92, 60)
+    rows = [(1, a, "x"), (1, b, "x"), (2, b + " word", "x"), (3, a + " word", "x"), (4, prose(93, 60), "x"),
+            (5, "  " + a, "x"), (6, None, "x"), (6, b, "x")]
+    found = {x.doc_id: x.component_id for x in odd_sketch.near_duplicates(frame(spark, rows)).where("n_shingles > 0").collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1, 6: 1}
+
+
+def test_clashing_names(spark):
+    """Columns with any name that mixing, scoring and filtering use inside stay as they are."""
+    names = ["_size", "_target", "_cut", "_fill", "_mean", "_point", "_source", "_source_size", "_copies", "_copy",
+             "_of", "_u", "_whole", "_lam", "row", "_score", "_bad", "score"]
+    docs = frame(spark, ODD_ROWS)
+    for n, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(n))
+    mix = mixing.mixed(docs)
+    assert mix.columns == docs.columns
+    assert {tuple(x)[-len(names):] for x in mix.collect()} == {tuple(range(len(names)))}
+    rated = mixing.rated(docs)
+    assert rated.columns[-4:] == ["_size", "_source_size", "_target", "_copies"] and rated.count() == len(ODD_ROWS)
+    labels = spark.createDataFrame([(4, 1, 0), (7, 0, 0)], "doc_id long, quality int, toxic int")
+    assert quality.good_documents(docs, labels).columns == docs.columns
+    items = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    clean = contamination.without_contaminated(docs, items)
+    assert clean.columns == docs.columns and clean.count() == len(ODD_ROWS) - 3
+
+
+def test_every_gap_of_a_mix_is_filled(spark):
+    """Few documents far larger than the rest: the target is met by many small ones."""
+    rows = [(i, "w " * 3000, "a") for i in range(6)] + [(100 + i, "w " * (1 + i % 9), "a") for i in range(400)]
+    rows += [(1000 + i, "w " * 50, "b") for i in range(200)]
+    found = mixing.rated(frame(spark, rows)).collect()
+    for source, least in (("a", 1), ("b", 50)):
+        own = [x for x in found if x.source == source]
+        assert 0 <= own[0]._target - sum(x._size * x._copies for x in own) < least, source
+
+
+def test_long_white_space_has_tokens(spark):
+    coder = token_shards.encoder(token_shards.VOCABULARY)
+    for gap in (" " * 1500, "\n" * 1200, "\t \u3000" * 500):
+        for text in (f"a{gap}", f"a{gap}b 1{gap}\n!", f"{gap}x"):
+            assert token_shards.encode(text).tolist() == [*coder.encode_ordinary(text), token_shards.END]
+    for text in (" " * 10_000_000, "a" + "\n" * 1_000_000 + "b"):
+        assert coder.decode(token_shards.encode(text)[:-1].tolist()) == text
+    docs = frame(spark, [*ODD_ROWS, (80, "a" + " " * 1_000_000 + "b", "a")])
+    assert token_shards.materialised(spark, docs).agg(F.sum("n_tokens")).first()[0] == sum(
+        len(token_shards.encode(x.text)) for x in docs.collect()
+    )
+
+
+def _lines_left(texts, least_lines=3, least_words=50):
+    """Brute force: windows of lines that stand earlier, in order of documents, and count, are deleted."""
+    lines = {i: [x.strip(" \t\n\x0b\x0c\r") for x in (t or "").split("\n")] for i, t in texts}
+    lines = {i: [x for x in rows if x] for i, rows in lines.items()}
+    seen, left = set(), {}
+    for i in sorted(lines):
+        own, gone = lines[i], set()
+        for start in range(len(own)):
+            for stop in range(start + 1, len(own) + 1):
+                window = tuple(own[start:stop])
+                if stop - start >= least_lines or sum(len(x.split()) for x in window) >= least_words:
+                    if window in seen:
+                        gone.update(range(start, stop))
+                    seen.add(window)
+        left[i] = [x for n, x in enumerate(own) if n not in gone]
+    return left
+
+
+def test_line_runs_against_all_windows(spark):
+    r = random.Random(12)
+    pool = [prose(i, r.choice([1, 3, 8, 30, 60])) for i in range(40)]
+    texts = [(i, "\n".join(r.choice(pool) for _ in range(r.randint(0, 12)))) for i in range(60)]
+    texts += [(100 + i, "\n".join(pool[i : i + 15] + ["", f"end {i}"])) for i in range(20)] + [(200, texts[5][1])]
+    found = line_runs.without_repeated_lines(frame(spark, [(i, t, "a") for i, t in texts])).collect()
+    expected = _lines_left(texts)
+    assert {x.doc_id: [y for y in x.text.split("\n") if y] for x in found} == expected
+
+
 def test_shingle_hashes_do_not_depend_on_segments(monkeypatch):
     whole = shingles.word_hashes(LONG)
     monkeypatch.setattr(shingles, "_SEGMENT", 1000)
