@@ -185,6 +185,7 @@ def without_repeated_lines(docs: DataFrame, least_lines: int = 3, least_words: i
     )
     runs = stored(runs, "runs")
     rows = docs.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
-    rows = rows.join(runs, same(rows.doc_id, runs.doc) & (rows.h == runs.hash), "left")
+    # One shape of the join at every size: the runs grow with the documents.
+    rows = rows.hint("merge").join(runs, same(rows.doc_id, runs.doc) & (rows.h == runs.hash), "left")
     rows = rows.select("doc_id", "text", "runs")
     return rows.mapInArrow(_rewrite, f"doc_id long, n_deleted int, text string, runs {_RUNS}")
