@@ -247,6 +247,10 @@ def near_duplicates(docs: DataFrame, similarity: int = 80) -> DataFrame:
     spoken = signed.where("n_shingles > 0 and doc_id is not null")
     # A class is told by its words; rows of one doc_id with different words are in several.
     classes = spoken.groupBy("words").agg(F.min("doc_id").alias("rep"))
+    # Numbers grow with the least doc_id, so that the first document of a bucket leads it: the
+    # one that others were copied from is nearer to them than they are to each other.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    classes = classes.repartitionByRange(parts, "rep", "words").sortWithinPartitions("rep", "words")
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     known = classes.withColumnRenamed("words", "of")
     firsts = spoken.join(known, (spoken.words == known["of"]) & (spoken.doc_id == known.rep))
@@ -276,11 +280,10 @@ def near_duplicates(docs: DataFrame, similarity: int = 80) -> DataFrame:
     clusters = stored(components(loose.unionByName(_linked(rest, similarity))), "clusters")
 
     sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
-    members = clusters.select(F.col("node").alias("id"), "component").join(sketches, "id")
+    members = clusters.select(F.col("node").alias("id"), "component").join(firsts.drop("bands"), "id")
     members = stored(members, "members")
     texts = docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("hash"), "text")
-    texts = texts.join(firsts.select("id", "rep", "hash"), ["rep", "hash"])
-    sets = members.join(texts, "id").select("id", "component", "sketch", "text")
+    sets = members.join(texts, ["rep", "hash"]).select("id", "component", "sketch", "text")
     sets = sets.mapInArrow(_shingle_sets, "id long, component long, sketch binary, members binary")
     links = _linked(_in_blocks(sets, "component", sizes), similarity)
     found = stored(components(links.unionByName(_shared_ids(spoken, classes))), "components")
