@@ -39,7 +39,8 @@ def op6_quality_classifier(spark, sf_dir):
 
 
 def op7_substring_dedup(spark, sf_dir):
-    return unit_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    """The documents that lose a passage, with what stays of them."""
+    return unit_dedup.without_repeats(table(spark, sf_dir, "documents")).where("size(removed) > 0")
 
 
 def op8_warc(spark, sf_dir):

@@ -1,14 +1,15 @@
-"""Substring dedup by hashing units: sentences within lines.
-
-Every text is cut into lines and these into sentences. Each unit of five or more words is
-normalised (lower case, one space between words) and hashed to 128 bits; the digests are grouped
-over all documents, the occurrence with the least (doc_id, start) stays and later ones are
-marked. Shorter units, which repeat by chance, neither count nor interrupt. Consecutive marked
-units of a document make a span; spans of at least `least_words` words are removed, shorter ones
-are left alone. Spans keep their offsets in the original text, in code points.
-
-A repeated line or paragraph is a run of repeated sentences, so it is found whole, and a passage
-that was set into another paragraph is found as well.
+"""Substring dedup by hashing units: paragraphs, lines, and sentences within lines.
+
+A paragraph is a stretch of lines that are not blank. Each unit of five or more words is normalised
+(lower case, one space between words) and hashed to 128 bits; the digests are grouped over all
+documents, the occurrence with the least (doc_id, start) stays and later ones are marked. Five words
+are the least that do not repeat by chance in prose; shorter lines go only as part of a paragraph.
+
+Marked paragraphs and lines are removed with their line feed. Sentences are an addition, for passages
+that were set into another paragraph: consecutive marked sentences make a span, which is removed if it
+has `least_words` words; sentences of under five words neither count nor interrupt. What is removed
+keeps its offsets in the original text, in code points. An earlier copy of each removed unit is either
+kept or itself covered by copies that are earlier still, so one of each stays.
 """
 
 from __future__ import annotations
@@ -30,50 +31,78 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # A sentence ends at its last full stop or mark before white space, or at the end of the line.
 _UNIT = re.compile(r"[^\n.!?。！？]+(?:[.!?。！？]+(?!\s|$)[^\n.!?。！？]*)*[.!?。！？]*|[.!?。！？]+")
 UNIT_WORDS = 5
-_UNITS = "doc_id long, n long, place int, start int, stop int, words int, digest binary"
+_LINE = re.compile(r"[^\n]*\n|[^\n]+")
+_UNITS = "doc_id long, n long, place int, start int, stop int, words int, whole boolean, digest binary"
+_TYPES = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.binary()]
+_NAMES = [column.split()[0] for column in _UNITS.split(", ")]
+
 
+def _digest(words: list[str]) -> bytes:
+    return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
 
-def units(text: str | None) -> Iterator[tuple[int, int, int, bytes]]:
-    """start, stop, number of words and digest of every unit of enough words."""
-    for match in _UNIT.finditer(text or ""):
+
+def _sentences(text: str, start: int, stop: int) -> Iterator[tuple[int, int, list[str]]]:
+    """start, stop and words of the sentences of enough words in a line."""
+    for match in _UNIT.finditer(text, start, stop):
         words = match[0].lower().split()
         if len(words) >= UNIT_WORDS:
             lead = len(match[0]) - len(match[0].lstrip())
-            stop = match.start() + len(match[0].rstrip())
-            digest = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
-            yield match.start() + lead, stop, len(words), digest
+            yield match.start() + lead, match.start() + len(match[0].rstrip()), words
+
+
+def units(text: str | None) -> Iterator[tuple[int | None, int, int, int, bool, bytes]]:
+    """place, start, stop, number of words, whole and digest of every unit of enough words.
+
+    `place` numbers sentences; `whole` marks lines and paragraphs. A line of one sentence is both.
+    """
+    text, place = text or "", 0
+    open_at, open_to, open_words, open_lines = 0, 0, [], 0
+    for line in [*_LINE.finditer(text), None]:
+        words = line[0].lower().split() if line else []
+        if not words:
+            if open_lines > 1 and len(open_words) >= UNIT_WORDS:
+                yield None, open_at, open_to, len(open_words), True, _digest(open_words)
+            open_words, open_lines = [], 0
+            continue
+        open_at = open_at if open_lines else line.start()
+        open_to, open_lines = line.end(), open_lines + 1
+        open_words.extend(words)
+        if len(words) < UNIT_WORDS:
+            continue
+        found = list(_sentences(text, line.start(), line.end()))
+        single = len(found) == 1 and found[0][2] == words
+        yield place if single else None, line.start(), line.end(), len(words), True, _digest(words)
+        for start, stop, inner in [] if single else found:
+            yield place, start, stop, len(inner), False, _digest(inner)
+            place += 1
+        place += single
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units of each row. `n` tells apart rows of one doc_id with different texts."""
-    for batch in batches:
-        columns: list[list] = [[] for _ in range(7)]
 
-        def flush(columns=columns) -> pa.RecordBatch:
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-            out = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            for column in columns:
-                column.clear()
-            return pa.RecordBatch.from_arrays(
-                out, names=["doc_id", "n", "place", "start", "stop", "words", "digest"]
-            )
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=_NAMES)
 
+    for batch in batches:
+        rows: list[tuple] = []
         for doc_id, n, text in zip(*(batch.column(i) for i in range(3)), strict=True):
-            doc_id, n = doc_id.as_py(), n.as_py()
-            for place, unit in enumerate(units(text.as_py())):
-                for column, value in zip(columns, (doc_id, n, place, *unit), strict=True):
-                    column.append(value)
-            if len(columns[0]) > 20_000:
-                yield flush()
-        if columns[0]:
-            yield flush()
+            key = doc_id.as_py(), n.as_py()
+            for unit in units(text.as_py()):
+                rows.append((*key, *unit))
+                if len(rows) >= 20_000:
+                    yield packed(rows)
+                    rows = []
+        if rows:
+            yield packed(rows)
 
 
 def repeated_spans(docs: DataFrame, least_words: int = 25) -> DataFrame:
-    """doc_id, n, start, stop, words, keep_doc_id: spans that repeat an earlier occurrence.
+    """doc_id, n, start, stop, keep_doc_id: maximal stretches that repeat earlier units.
 
     `n` is a hash of the text. Rows equal in doc_id and text are one document here; a null
-    doc_id ranks last. keep_doc_id is where the first unit of the span is kept.
+    doc_id ranks last. keep_doc_id is the document where the first unit of the stretch first stands.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("n"), "text")
     found = rows.mapInArrow(_units, _UNITS)
@@ -88,17 +117,26 @@ def repeated_spans(docs: DataFrame, least_words: int = 25) -> DataFrame:
     later = found.join(first, found.digest == F.col("d")).where(
         (rank > F.col("first")) | (F.col("n") != F.col("first_n"))
     )
-    later = later.groupBy("doc_id", "n", "place").agg(
-        F.min("start").alias("start"), F.min("stop").alias("stop"), F.min("words").alias("words"),
+    later = later.groupBy("doc_id", "n", "start", "stop").agg(
+        F.min("place").alias("place"), F.min("words").alias("words"), F.max("whole").alias("whole"),
         F.min("keep_doc_id").alias("keep_doc_id"),
     )
-    order = Window.partitionBy("doc_id", "n").orderBy("place")
-    run = F.col("place") - F.row_number().over(order)
-    spans = later.withColumn("run", run).groupBy("doc_id", "n", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words"),
-        F.min_by("keep_doc_id", "place").alias("keep_doc_id"),
-    )
-    return spans.where(F.col("words") >= least_words).drop("run")
+    # Consecutive places make a run; a sentence of a run that counts reaches to the next one.
+    places = Window.partitionBy("doc_id", "n").orderBy(F.col("place").asc_nulls_last())
+    later = later.withColumn("run", F.col("place") - F.row_number().over(places))
+    run = Window.partitionBy("doc_id", "n", "run")
+    counts = F.col("place").isNotNull() & (F.sum("words").over(run) >= least_words)
+    reach = F.greatest("stop", F.when(counts, F.lead("start").over(run.orderBy("place"))))
+    marked = later.select("*", counts.alias("counts"), reach.alias("to")).where("whole or counts")
+    # Marked units that overlap or touch make one stretch.
+    order = Window.partitionBy("doc_id", "n").orderBy("start", F.desc("stop"))
+    before = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = marked.withColumn("opens", (F.coalesce(before, F.lit(-1)) < F.col("start")).cast("int"))
+    marked = marked.withColumn("stretch", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy("doc_id", "n", "stretch").agg(
+        F.min("start").alias("start"), F.max("to").alias("stop"),
+        F.min_by("keep_doc_id", "start").alias("keep_doc_id"),
+    ).drop("stretch")
 
 
 _SPAN = "array<struct<start:int,stop:int,keep_doc_id:bigint>>"
@@ -110,6 +148,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for text, spans in zip(*(batch.column(batch.num_columns - k) for k in (2, 1)), strict=True):
             whole, at, kept = text.as_py(), 0, []
+            if whole is None:
+                texts.append(None)
+                continue
             for span in spans.as_py():
                 kept.append(whole[at : span["start"]])
                 at = span["stop"]
@@ -121,11 +162,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_repeats(docs: DataFrame, least_words: int = 25) -> DataFrame:
-    """A row per document that repeats an earlier passage: doc_id, keep_doc_ids, text, removed.
+    """A row per document: doc_id, keep_doc_ids, text, removed.
 
     `text` is what stays, `removed` lists start, stop (code points of the original text) and the
-    document that keeps the passage. Documents without repeats have no row. Null and empty texts
-    have no units. Of equal rows each gets its row, with equal results.
+    document that keeps the passage; both lists are empty where nothing repeats. Null and empty
+    texts have no units and stay as they are. Of equal rows each gets its row, with equal results.
     """
     spans = repeated_spans(docs, least_words)
     spans = spans.groupBy("doc_id", "n").agg(
@@ -133,7 +174,9 @@ def without_repeats(docs: DataFrame, least_words: int = 25) -> DataFrame:
     )
     spans = stored(spans.select(F.col("doc_id").alias("d"), F.col("n").alias("m"), "removed"), "spans")
     rows = docs.select("doc_id", "text").withColumn("n", F.xxhash64("text"))
-    rows = rows.join(spans, same(rows.doc_id, spans.d) & (rows.n == spans.m))
+    rows = rows.join(spans, same(rows.doc_id, spans.d) & (rows.n == spans.m), "left")
+    removed = F.coalesce("removed", F.array().cast(_SPAN))
+    rows = rows.select("doc_id", "text", removed.alias("removed"))
     keepers = F.array_sort(F.array_distinct(F.transform("removed", lambda s: s.keep_doc_id)))
     rows = rows.select("doc_id", keepers.alias("keep_doc_ids"), "text", "removed")
     return rows.mapInArrow(_cut, f"doc_id long, keep_doc_ids array<bigint>, text string, removed {_SPAN}")

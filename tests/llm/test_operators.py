@@ -262,17 +262,122 @@ def test_rates_tilt_by_size(spark):
         assert (long >= short) == up
 
 
+def cut_text(spark, rows):
+    return {x.doc_id: x for x in unit_dedup.without_repeats(frame(spark, rows)).collect()}
+
+
 def test_units_and_spans(spark):
     passage = prose(21, 60) + "."
     rows = [*ODD_ROWS, (50, f"Own words come first here. {passage.upper()}\nend", "a"),
             (51, f"Other text {prose(22, 9)}. {passage} {prose(23, 12)}.", "a"), (52, prose(24, 80), "a")]
-    found = {x.doc_id: x for x in unit_dedup.without_repeats(frame(spark, rows)).collect()}
-    assert set(found) == {6, 51}
+    result = unit_dedup.without_repeats(frame(spark, rows)).collect()
+    assert len(result) == len(rows)
+    found = {x.doc_id: x for x in result}
+    assert {i for i, x in found.items() if x.removed} == {6, 51}
     text = dict((i, t) for i, t, _ in rows)[51]
     span = found[51].removed[0]
     assert text[span.start : span.stop] == passage and span.keep_doc_id == 50 and found[51].keep_doc_ids == [50]
     assert found[51].text == text.replace(passage, "")
     assert found[6].text == "" and found[6].keep_doc_ids == [5]
+    assert found[1].text is None and found[2].text == "" and found[52].text == rows[-1][1]
+
+
+def test_short_lines_and_paragraphs(spark):
+    line, block = prose(41, 6), "\n".join(prose(i, 3) for i in range(42, 46))
+    rows = [
+        (80, f"{line}\nmine", "a"), (81, f"first of all\n  {line.upper()} \nlast", "a"),
+        (82, f"{block}\n\nmine", "a"), (83, f"yours\n\n{block}\n \nrest", "a"),
+        (84, f"no {line}", "a"), (85, f"{line}\n{line}", "a"), (86, block.replace("\n", " and "), "a"),
+    ]
+    found = cut_text(spark, rows)
+    assert found[81].text == "first of all\nlast" and found[81].keep_doc_ids == [80]
+    assert found[83].text == "yours\n\n \nrest" and found[83].keep_doc_ids == [82]
+    assert found[85].text == "" and len(found[85].removed) == 1
+    assert {i for i, x in found.items() if not x.removed} == {80, 82, 84, 86}
+
+
+def plain_cut(rows):
+    """Texts without later units, by one pass over all units in the order of (doc_id, start)."""
+    listed = []
+    for i, text, _ in rows:
+        text, at, lines = text or "", 0, []
+        for line in text.split("\n"):
+            lines.append((at, min(len(text), at + len(line) + 1), line))
+            at += len(line) + 1
+        spans = [(a, b, line, True) for a, b, line in lines]
+        group = []
+        for a, b, line in [*lines, (0, 0, "")]:
+            if line.split():
+                group.append((a, b))
+            elif group:
+                spans.append((group[0][0], group[-1][1], text[group[0][0] : group[-1][1]], True))
+                group = []
+        for a, _, line in lines:
+            ends = [m.end() for m in re.finditer(r"[.]+(?=\s|$)", line)]
+            for x, y in zip([0, *ends], [*ends, len(line)], strict=True):
+                part = line[x:y]
+                lead = len(part) - len(part.lstrip())
+                spans.append((a + x + lead, a + x + len(part.rstrip()), part, False))
+        listed += [(i, a, b, tuple(s.lower().split()), whole) for a, b, s, whole in spans]
+    listed = [u for u in listed if len(u[3]) >= 5]
+    first = {}
+    for i, a, _, words, _ in listed:
+        first[words] = min(first.get(words, (i, a)), (i, a))
+    texts = {}
+    for i, text, _ in rows:
+        text = text or ""
+        gone = [False] * len(text)
+
+        def later(u):
+            # A line that is one sentence may start before it, with its indentation.
+            return first[u[3]] < (u[0], u[1]) and (u[4] or first[u[3]] < (u[0], line_of(u)))
+
+        def line_of(u, text=text):
+            at = text.rfind("\n", 0, u[1]) + 1
+            return at if not text[at : u[1]].strip() else u[1]
+
+        mine = [u for u in listed if u[0] == i]
+        run = []
+        for u in [*sorted(u for u in mine if not u[4]), None]:
+            if u and later(u):
+                run.append(u)
+                continue
+            if sum(len(v[3]) for v in run) >= 25:
+                gone[run[0][1] : run[-1][2]] = [True] * (run[-1][2] - run[0][1])
+            run = []
+        for u in mine:
+            if u[4] and later(u):
+                gone[u[1] : u[2]] = [True] * (u[2] - u[1])
+        texts[i] = "".join(c for c, g in zip(text, gone, strict=True) if not g)
+    return texts
+
+
+def test_units_against_a_plain_version(spark):
+    r = random.Random(5)
+    pool = [prose(i, r.randint(3, 12)) for i in range(300, 330)]
+    rows = []
+    for i in range(120):
+        lines = []
+        for _ in range(r.randint(1, 9)):
+            if r.random() < 0.2:
+                lines.append("")
+            elif r.random() < 0.5:
+                lines.append(r.choice(pool))
+            else:
+                lines.append(" ".join(r.choice([*pool, prose(1000 + i, 7)]) + "." for _ in range(r.randint(1, 5))))
+        rows.append((i, "\n".join(lines), "a"))
+    expected = plain_cut(rows)
+    found = cut_text(spark, rows)
+    assert {i: x.text for i, x in found.items()} == expected
+    # No later copy of a line of five words stays, and of every line one copy does.
+    seen = Counter(" ".join(x.split()) for i in sorted(found) for x in found[i].text.split("\n"))
+    assert all(n == 1 for x, n in seen.items() if len(x.split()) >= 5)
+    for x in found.values():
+        text = rows[x.doc_id][1]
+        left = text
+        for s in reversed(x.removed):
+            left = left[: s.start] + left[s.stop :]
+        assert left == x.text and all(a.stop < b.start for a, b in zip(x.removed, x.removed[1:]))
 
 
 def test_repeated_line_runs(spark):
