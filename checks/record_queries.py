@@ -28,7 +28,14 @@ from pagelarder.plans.crawl import run
 from pagelarder.plans.extract import extract
 from pagelarder.session import shared_folder
 from pagelarder.sources import sapo_sabores
-from pagelarder.sources.feed import feed_lines, read_job_parts, read_recipes, write_recipes
+from pagelarder.sources.feed import (
+    feed_lines,
+    read_committed_parts,
+    read_job_parts,
+    read_recipes,
+    write_job_part,
+    write_recipes,
+)
 from pagelarder.sources.pages import read_pages
 from pagelarder.sources.spec import SourceSpec
 from pagelarder.streaming.incremental import (
@@ -242,6 +249,17 @@ JOB_PARTS_SQL = (
 )
 
 
+def committed_parts(spark, sf_dir):
+    """Job 1 writes its part twice and the second one counts; job 3 wrote files and no manifest; of
+    the jobs with a manifest, 1, 2 and 4, the range takes 1 and 2."""
+    root = shared_folder(spark, "committed")
+    jobs = ((1, "vaqueiro"), (2, "teleculinaria"), (4, "pingo_doce"), (1, "sapo_sabores"))
+    for job, site in jobs:
+        write_job_part(recipes(extract(site_pages(spark, sf_dir, site))), root, "p", 7, job)
+    lost = feed_lines(recipes(extract(site_pages(spark, sf_dir, "pingo_doce"))))
+    lost.select("value").write.text(f"{root}/p/7/3/unnamed")
+    return flat(read_committed_parts(spark, root, "p", 7, 1, 3))
+
 
 def hooked_records(spark, sf_dir):
     """Records that pass two hooks in turn: one drops some and names the rest anew, one adds to them."""
@@ -377,6 +395,7 @@ QUERIES = {
     "run_new_records": (run_new_records, RUN_NEW_RECORDS_SQL),
     "feed_round_trip": (feed_round_trip, CONFORMED_RECORDS_SQL),
     "job_parts": (job_parts, JOB_PARTS_SQL),
+    "committed_parts": (committed_parts, JOB_PARTS_SQL),
     "hooked_records": (hooked_records, HOOKED_RECORDS_SQL),
     "custom_source": (custom_source, CUSTOM_SOURCE_SQL),
     "incremental_run": (incremental_run, CUSTOM_SOURCE_SQL),

@@ -66,7 +66,28 @@ class Selection:
         """Positions below (`own`: and at) the selected nodes that pass the test."""
         if self.at is None:
             return F.filter(self.nodes, test)["pre"]
-        return self._step(lambda p: F.filter(self._subtree(p, own), test)["pre"])
+        return self._below(lambda p: F.filter(self._subtree(p, own), test)["pre"])
+
+    def _below(self, step: Callable[[Column], Column]) -> Column:
+        """As `_step`, for steps that reach the whole subtree of each node.
+
+        A node inside another selected one adds nothing to such a set, so only the outermost
+        nodes step. Their subtrees are disjoint: what they give is in order and without repeats,
+        and takes time in proportion to the page, however deep the selected nodes are nested.
+        """
+        if self._one is not None:
+            return step(self._one)
+        return F.flatten(F.transform(self._outermost(), step))
+
+    def _outermost(self) -> Column:
+        none = F.struct(F.lit(-1).alias("to"), F.array().cast("array<int>").alias("at"))
+
+        def pick(seen: Column, p: Column) -> Column:
+            end = F.get(self.nodes, p)["end"]
+            grown = F.struct(end.alias("to"), F.concat(seen["at"], F.array(p)).alias("at"))
+            return F.when(p > seen["to"], grown).otherwise(seen)
+
+        return F.aggregate(F.sort_array(self.at), none, pick, lambda seen: seen["at"])
 
     def _step(self, step: Callable[[Column], Column]) -> Column:
         """Positions that `step` finds from each selected node, as a set in document order."""
@@ -91,18 +112,8 @@ class Selection:
     def _keep(self, test: Test, step: str) -> Selection:
         return self._select(F.filter(self._listed(step), lambda p: test(F.get(self.nodes, p))))
 
-    def _texts_at(self, test: Callable[[Column, Column], Column]) -> Column:
-        """Text of the text nodes below each selected node that pass `test(node, position)`."""
-
-        def step(p: Column) -> Column:
-            return F.filter(self._subtree(p, own=False), lambda n: test(n, p))
-
-        if self.at is None:
-            return F.filter(self.nodes, lambda n: test(n, F.lit(-1)))["text"]
-        if self._one is not None:
-            return step(self._one)["text"]
-        at = self._step(lambda p: step(p)["pre"])
-        return F.transform(at, lambda p: F.get(self.nodes, p)["text"])
+    def _text_nodes(self, position: Column) -> Column:
+        return F.filter(self._subtree(position, own=False), lambda n: n["kind"] == "t")
 
     # -- steps to other nodes ----------------------------------------------------------
 
@@ -160,11 +171,22 @@ class Selection:
 
     def text(self) -> Column:
         """Each text node directly below a selected node."""
-        return self._texts_at(lambda n, p: (n["kind"] == "t") & (n["parent"] == p))
+
+        def step(p: Column) -> Column:
+            return F.filter(self._text_nodes(p), lambda n: n["parent"] == p)
+
+        if self.at is None:
+            return F.filter(self.nodes, lambda n: (n["kind"] == "t") & (n["parent"] < 0))["text"]
+        if self._one is not None:
+            return step(self._one)["text"]
+        at = self._step(lambda p: step(p)["pre"])
+        return F.transform(at, lambda p: F.get(self.nodes, p)["text"])
 
     def texts(self) -> Column:
         """Each text node anywhere below the selected nodes."""
-        return self._texts_at(lambda n, p: n["kind"] == "t")
+        if self.at is None:
+            return F.filter(self.nodes, lambda n: n["kind"] == "t")["text"]
+        return self._below(lambda p: self._text_nodes(p)["text"])
 
     def attr(self, name: str) -> Column:
         """The attribute of each selected node that has it."""

@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from pagelarder.operators.conform import combine, from_feed_names, to_feed_names
 from pagelarder.schema import RECIPES
-from pagelarder.session import shared_folder
+from pagelarder.session import drop_folder, shared_folder
 from pagelarder.sources.feed import (
+    damaged_parts,
     feed_lines,
     parse_feed,
+    read_committed_parts,
     read_job_parts,
+    read_manifest,
     read_recipes,
+    write_job_part,
     write_recipes,
 )
 
@@ -67,6 +71,35 @@ def test_job_parts(spark, records):
     assert both == 2 * one > 0
 
 
+def test_committed_parts(spark, records):
+    root = shared_folder(spark, "committed")
+    assert read_committed_parts(spark, root, "p", 2, 0, 99).isEmpty()
+    assert damaged_parts(spark, root, "p", 2, 0, 99).isEmpty()
+    numbered = records.repartition(3)
+    for job in (3, 4, 12):
+        write_job_part(numbered.withColumn("name", F.lit(f"job {job}")), root, "p", 2, job)
+    broken = numbered.withColumn(
+        "name", F.when(F.col("url") == "u3", F.raise_error(F.lit("lost")).cast("string")).otherwise("partial")
+    )
+    with pytest.raises(Exception, match="lost"):
+        write_job_part(broken, root, "p", 2, 5)
+    # A job whose files are written and whose manifest is not, as when the driver is lost in between.
+    feed_lines(numbered).select("value").write.text(f"{root}/p/2/6/deadbeef")
+
+    def names(*jobs):
+        return sorted(r.name for r in read_committed_parts(spark, root, "p", 2, *jobs).collect())
+
+    assert names(0, 99) == ["job 12"] * 3 + ["job 3"] * 3 + ["job 4"] * 3
+    assert names(4, 11) == ["job 4"] * 3 and names(11, 4) == [] and names(5, 6) == []
+    write_job_part(numbered.limit(1).withColumn("name", F.lit("again")), root, "p", 2, 4)
+    write_job_part(numbered.where("false"), root, "p", 2, 12)
+    assert names(0, 99) == ["again"] + ["job 3"] * 3
+    assert damaged_parts(spark, root, "p", 2, 0, 99).isEmpty()
+    part = read_manifest(spark, root, "p", 2, 3, 3).where("file is not null").first()
+    drop_folder(spark, f"{root}/p/2/3/{part.attempt}/{part.file}")
+    assert [tuple(r) for r in damaged_parts(spark, root, "p", 2, 0, 99).collect()] == [(3, part.file, part.lines, 0)]
+
+
 def _files(df) -> int:
     """Files that the scan of a query opens, after those of other jobs have been left out."""
     df.collect()

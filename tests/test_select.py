@@ -1,5 +1,7 @@
 """Selectors: sets in document order, results per node, positions, predicates, fallbacks."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +112,25 @@ def test_steps_from_the_page_itself(evaluate):
     ):
         with pytest.raises(ValueError, match="starts from elements"):
             step()
+
+
+def test_sets_from_nested_nodes(evaluate):
+    html = "<div>a<i>b</i><div>c<i>d</i></div><i>e</i></div><i>f</i><div>g</div>"
+    divs = page().css("div")
+    assert evaluate(
+        html, divs.texts(), divs.css("i").texts(), divs.descendants("div").strings(), divs.css("div").strings()
+    ) == (["a", "b", "c", "d", "e", "g"], ["b", "d", "e"], ["cd"], ["abcde", "cd", "g"])
+
+
+@pytest.mark.parametrize("nested", [True, False])
+def test_sets_from_many_nodes(spark, nested):
+    n = 4000
+    html = "".join(f"<div>{i}" for i in range(n)) + "</div>" * n if nested else "".join(f"<div>{i}</div>" for i in range(n))
+    divs = page().css("div")
+    nodes = shred(spark.createDataFrame([(html,)], "html string")).cache()
+    query = nodes.select(divs.texts().alias("a"), F.size(divs.descendants().at).alias("b"))
+    query.collect()
+    start = time.monotonic()
+    row = query.first()
+    assert row.a == [str(i) for i in range(n)] and row.b == (n - 1 if nested else 0)
+    assert time.monotonic() - start < 3
