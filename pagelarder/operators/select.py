@@ -87,7 +87,10 @@ class Selection:
             grown = F.struct(end.alias("to"), F.concat(seen["at"], F.array(p)).alias("at"))
             return F.when(p > seen["to"], grown).otherwise(seen)
 
-        return F.aggregate(F.sort_array(self.at), none, pick, lambda seen: seen["at"])
+        def picked(at: Column) -> Column:
+            return F.aggregate(F.sort_array(at), none, pick, lambda seen: seen["at"])
+
+        return let(self.at, lambda at: F.when(F.size(at) < 2, at).otherwise(picked(at)))
 
     def _step(self, step: Callable[[Column], Column]) -> Column:
         """Positions that `step` finds from each selected node, as a set in document order."""
