@@ -9,11 +9,16 @@
    false candidates and gather similar documents in loose clusters. Where some members of a
    bucket are unlike the leader, those and the ones not close to it are compared with each other
    in blocks of bounded size; a task returns a spanning forest and never the pairs.
-4. Full shingle sets of the documents of a cluster meet in blocks of bounded size. Only there
-   a link is made, by exact intersection and union, and again a forest is returned.
-
-A cluster of n different texts is compared in (n / BLOCK)^2 / 2 tasks of bounded size: the work
-is spread and the rows are few, but no link is lost by sampling or caps.
+4. Full shingle sets make the links, by exact intersection and union. First every document of
+   a cluster meets the leader most like it, in stars of bounded size, so its set moves once.
+   The links found join documents to components, and only members of different components of
+   one cluster are compared further: their sketches meet in blocks of bounded rows and bytes,
+   and the sets of those that are close to a member of another component follow.
+
+So a cluster of n different texts that link to their leaders moves n sets and the leaders, and
+one with a few stragglers moves them a second time. Where many members of a cluster are alike
+but not linked, (n / SET_ROWS)^2 / 2 tasks compare sketches of 128 bytes; sets move only for
+pairs that sketches can't rule out. No link is lost by sampling or caps.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelarder.llm import common, shingles
@@ -39,6 +44,8 @@ HASHES, ROWS, BANDS, BITS, BLOCK = 256, 4, 32, 1024, 128
 # Similarities, as sketches estimate them: members this like their leader share its cluster;
 # below NEAR they are also compared with those that don't. The estimate is off by 0.02 to 0.03.
 LOOSE, NEAR, MARGIN = 0.5, 0.78, 0.13
+# A task on full sets takes about this many rows and shingles (16 MB) from each side.
+SET_ROWS, SET_SHINGLES = 512, 1 << 21
 
 _random = np.random.default_rng(20140407)
 _A = _random.integers(0, 1 << 31, HASHES, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
@@ -117,8 +124,10 @@ def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _forest(n: int, pairs: Iterator[tuple[int, int]], linked) -> list[tuple[int, int]]:
-    root = list(range(n))
+def _forest(joined: list[int], pairs: Iterator[tuple[int, int]], linked) -> list[tuple[int, int]]:
+    """Links that join what is not joined yet; rows with one number in `joined` are from the start."""
+    first: dict[int, int] = {}
+    root = [first.setdefault(x, i) for i, x in enumerate(joined)]
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -135,15 +144,18 @@ def _forest(n: int, pairs: Iterator[tuple[int, int]], linked) -> list[tuple[int,
     return edges
 
 
-def _close_pairs(block: np.ndarray, bits: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+def _close_pairs(
+    block: np.ndarray, joined: np.ndarray, bits: np.ndarray, least: float
+) -> Iterator[tuple[int, int]]:
     """Pairs of a task whose sketches are alike, the most alike first within a row.
 
-    A task of two blocks has the pairs across them, a task of one block all of its pairs.
+    A task of two blocks has the pairs across them, a task of one block all of its pairs; rows
+    that are joined already are no pair.
     """
     across = len(np.unique(block)) > 1
     for i in range(len(bits) - 1):
         est = estimate(np.bitwise_count(bits[i] ^ bits[i + 1 :]).sum(axis=1, dtype=np.int64))
-        ok = est >= least
+        ok = (est >= least) & (joined[i + 1 :] != joined[i])
         if across:
             ok &= block[i + 1 :] != block[i]
         at = np.flatnonzero(ok)
@@ -151,6 +163,37 @@ def _close_pairs(block: np.ndarray, bits: np.ndarray, least: float) -> Iterator[
             yield i, i + 1 + int(j)
 
 
+def _task_pairs(task: pa.Table, least: float) -> tuple[list[int], Iterator[tuple[int, int]]]:
+    name = "joined" if "joined" in task.column_names else "id"
+    joined = np.array(task.column(name).to_pylist())
+    bits = _bitmaps(task.column("sketch").combine_chunks())
+    return joined.tolist(), _close_pairs(np.array(task.column("block").to_pylist()), joined, bits, least)
+
+
+def _close(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Rows of each task whose sketch is close to that of a row joined with others."""
+    for task in common.runs_of(batches, "task"):
+        found: set[int] = set()
+        for pair in _task_pairs(task, least)[1]:
+            found.update(pair)
+        if found:
+            rows = task.select(["id", "joined", "block", "task"]).take(pa.array(sorted(found)))
+            yield from rows.combine_chunks().to_batches()
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of each task and id, of batches sorted by these: rows of a table can be repeated."""
+    last = np.zeros((2, 0), np.int64)
+    for batch in batches:
+        keys = np.array([batch.column(c).to_numpy() for c in ("task", "id")])
+        before = np.concatenate([last, keys], axis=1)[:, -batch.num_rows - 1 : -1]
+        new = np.ones(batch.num_rows, bool)
+        new[batch.num_rows - before.shape[1] :] = (before != keys[:, batch.num_rows - before.shape[1] :]).any(axis=0)
+        if batch.num_rows:
+            last = keys[:, -1:]
+            yield batch.filter(pa.array(new))
+
+
 def _edges(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
     """Forest of each task's links: by full sets where there are some, else by sketches."""
     found: list[tuple[int, int]] = []
@@ -163,11 +206,10 @@ def _edges(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.Re
         found.clear()
         return out
 
-    for task in common.runs_of(batches, "task"):
+    for task in common.runs_of(_once(batches), "task"):
         ids = task.column("id").to_pylist()
         if len(ids) < 2:
             continue
-        bits = _bitmaps(task.column("sketch").combine_chunks())
         sets = None
         if "members" in task.column_names:
             sets = [np.frombuffer(x, np.uint64) for x in task.column("members").to_pylist()]
@@ -181,9 +223,8 @@ def _edges(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.Re
             shared = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
             return 100 * shared >= similarity * (len(a) + len(b) - shared)
 
-        least = similarity / 100 - MARGIN
-        pairs = _close_pairs(np.array(task.column("block").to_pylist()), bits, least)
-        found += [(ids[i], ids[j]) for i, j in _forest(len(ids), pairs, linked)]
+        joined, pairs = _task_pairs(task, similarity / 100 - MARGIN)
+        found += [(ids[i], ids[j]) for i, j in _forest(joined, pairs, linked)]
         if len(found) > 10_000:
             yield batch()
     if found:
@@ -215,6 +256,64 @@ def _in_blocks(members: DataFrame, group: str, sizes: DataFrame) -> DataFrame:
     )
 
 
+def _parts(rows: str, shingles: str) -> Column:
+    return F.ceil(F.greatest(F.col(rows) / SET_ROWS, F.col(shingles) / SET_SHINGLES)).cast("long")
+
+
+def _star_tasks(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(id, joined, block, task) of stars: a leader in block 0, those most like it in block 1.
+
+    `pairs` (id, leader, est), `counts` (id, n_shingles). A leader's followers are dealt over
+    as many tasks as their rows and shingles need; the leader is in each of these.
+    """
+    best = pairs.groupBy("id").agg(F.max(F.struct("est", (-F.col("leader")).alias("to"))).alias("best"))
+    best = best.select("id", (-F.col("best.to")).alias("leader")).join(counts, "id")
+    sizes = best.groupBy("leader").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("shingles"))
+    sizes = sizes.select("leader", _parts("rows", "shingles").alias("n"))
+    placed = best.join(sizes, "leader").withColumn("task", F.expr("xxhash64(leader, pmod(xxhash64(id), n))"))
+    followers = placed.select("id", F.lit(1).alias("block"), "task")
+    leaders = placed.select(F.col("leader").alias("id"), F.lit(0).alias("block"), "task").distinct()
+    tasks = followers.unionByName(leaders)
+    return tasks.select("id", F.col("id").alias("joined"), "block", "task")
+
+
+def _cross_tasks(members: DataFrame) -> DataFrame:
+    """(id, joined, block, task) that bring members of different components of a cluster together.
+
+    `members` (id, cluster, joined, n_shingles), joined being the component so far. A large
+    component has blocks of its own, which never meet each other; small ones share blocks. A
+    cluster that is one component has no task.
+    """
+    groups = members.groupBy("cluster", "joined").agg(
+        F.count("*").alias("rows"), F.sum("n_shingles").alias("shingles")
+    )
+    mixed = groups.groupBy("cluster").agg(F.count("*").alias("k")).where("k > 1").select("cluster")
+    large = (F.col("rows") * 4 >= SET_ROWS) | (F.col("shingles") * 4 >= SET_SHINGLES)
+    groups = groups.join(mixed, "cluster").withColumn("owner", F.when(large, F.col("joined")))
+    groups = stored(groups.withColumn("n", _parts("rows", "shingles")), "groups")
+    shared = groups.where("owner IS NULL").groupBy("cluster").agg(
+        F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles")
+    )
+    shared = shared.select("cluster", _parts("rows", "shingles").alias("shared"))
+    groups = groups.select("cluster", "joined", "owner", "n").join(shared, "cluster", "left")
+    block = F.expr(
+        "if(owner IS NULL, xxhash64(cluster, pmod(xxhash64(joined), shared)),"
+        " xxhash64(cluster, owner, pmod(xxhash64(id), n)))"
+    )
+    placed = members.join(groups, ["cluster", "joined"]).select(
+        "id", "joined", "cluster", "owner", block.alias("block")
+    )
+    placed = stored(placed, "placed")
+    blocks = stored(placed.select("cluster", "owner", "block").distinct(), "blocks")
+    others = blocks.select("cluster", F.col("owner").alias("owner2"), F.col("block").alias("block2"))
+    met = blocks.join(others, "cluster").where("block <= block2 AND (owner IS NULL OR NOT owner <=> owner2)")
+    met = met.select(
+        "cluster", F.xxhash64("cluster", "block", "block2").alias("task"),
+        F.explode(F.array_distinct(F.array("block", "block2"))).alias("block"),
+    )
+    return placed.drop("owner").join(met, ["cluster", "block"]).select("id", "joined", "block", "task")
+
+
 def _linked(members: DataFrame, similarity: int) -> DataFrame:
     return (
         members.repartition("task").sortWithinPartitions("task", "id")
@@ -255,7 +354,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 80) -> DataFrame:
     known = classes.withColumnRenamed("words", "of")
     firsts = spoken.join(known, (spoken.words == known["of"]) & (spoken.doc_id == known.rep))
     # Rows of a class with one doc_id differ in white space only; one of them gives the text.
-    firsts = stored(firsts.select("id", "rep", "hash", "bands", "sketch"), "firsts")
+    firsts = stored(firsts.select("id", "rep", "hash", "n_shingles", "bands", "sketch"), "firsts")
     one = firsts.groupBy("id", "rep").agg(F.min("hash").alias("hash"))
     firsts = stored(firsts.join(one, ["id", "rep", "hash"]).dropDuplicates(["id"]), "firsts")
 
@@ -279,13 +378,24 @@ def near_duplicates(docs: DataFrame, similarity: int = 80) -> DataFrame:
     loose = pairs.where(F.col("est") >= LOOSE).select(F.col("id").alias("a"), F.col("leader").alias("b"))
     clusters = stored(components(loose.unionByName(_linked(rest, similarity))), "clusters")
 
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
-    members = clusters.select(F.col("node").alias("id"), "component").join(firsts.drop("bands"), "id")
-    members = stored(members, "members")
+    counts = firsts.select("id", "n_shingles")
+    members = clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster"))
     texts = docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("hash"), "text")
-    sets = members.join(texts, ["rep", "hash"]).select("id", "component", "sketch", "text")
-    sets = sets.mapInArrow(_shingle_sets, "id long, component long, sketch binary, members binary")
-    links = _linked(_in_blocks(sets, "component", sizes), similarity)
+    sets = members.join(firsts.drop("bands"), "id").join(texts, ["rep", "hash"]).select("id", "sketch", "text")
+    sets = stored(sets.mapInArrow(_shingle_sets, "id long, sketch binary, members binary"), "sets")
+
+    close = similarity / 100 - MARGIN
+    stars = _star_tasks(pairs.where(F.col("est") >= close), counts)
+    links = stored(_linked(stars.join(sets, "id"), similarity), "links")
+    known = components(links).withColumnRenamed("component", "joined")
+    joined = members.join(known, members.id == known.node, "left")
+    joined = joined.select("id", "cluster", F.coalesce("joined", "id").alias("joined")).join(counts, "id")
+    cross = _cross_tasks(stored(joined, "joined")).join(sketches, "id")
+    cross = cross.repartition("task").sortWithinPartitions("task", "id").mapInArrow(
+        lambda batches: _close(batches, close), "id long, joined long, block long, task long"
+    )
+    across = _linked(cross.join(sets, "id"), similarity)
+    links = links.unionByName(across)
     found = stored(components(links.unionByName(_shared_ids(spoken, classes))), "components")
 
     # A component has the least doc_id of its classes.

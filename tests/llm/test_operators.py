@@ -119,6 +119,53 @@ def test_near_duplicates_against_all_pairs(spark):
     assert [tuple(x)[2:] for x in found if x.doc_id is None] == [(None, True)] * 2
 
 
+def test_a_cluster_moves_its_sets_once(spark):
+    """5,000 texts that link to one leader: a row each and the leader's; then nothing is left to compare."""
+    n = 5000
+    pairs = spark.range(1, n).selectExpr("id", "0L AS leader", "0.9D AS est")
+    counts = spark.range(n).selectExpr("id", "100L AS n_shingles")
+    tasks = odd_sketch._star_tasks(pairs, counts)
+    sizes = {x.task: x["count"] for x in tasks.groupBy("task").count().collect()}
+    assert n <= sum(sizes.values()) <= n - 1 + len(sizes) and len(sizes) <= -(-n // odd_sketch.SET_ROWS)
+    assert max(sizes.values()) < 2 * odd_sketch.SET_ROWS
+    one = counts.selectExpr("id", "0L AS cluster", "0L AS joined", "n_shingles")
+    assert odd_sketch._cross_tasks(one).isEmpty()
+    # Long texts make smaller blocks.
+    long = counts.selectExpr("id", f"{odd_sketch.SET_SHINGLES}L AS n_shingles")
+    assert odd_sketch._star_tasks(pairs, long).select("task").distinct().count() > n / 4
+
+
+def test_components_of_a_cluster_meet_and_never_themselves(spark):
+    """Two large components and 40 rows alone: all pairs across meet in some task, others need not."""
+    rows = [(i, 0, 0 if i < 1500 else 1500 if i < 2200 else i, 100) for i in range(2240)]
+    members = spark.createDataFrame(rows, "id long, cluster long, joined long, n_shingles long")
+    found = odd_sketch._cross_tasks(members).collect()
+    tasks = {}
+    for x in found:
+        tasks.setdefault(x.task, {}).setdefault(x.block, []).append((x.id, x.joined))
+    met = set()
+    for blocks in tasks.values():
+        assert len({j for rows in blocks.values() for _, j in rows}) > 1
+        sides = list(blocks.values())
+        met |= {frozenset((a, b)) for a, x in sides[0] for b, y in sides[-1] if x != y}
+    of = {i: j for i, _, j, _ in rows}
+    assert met == {frozenset((a, b)) for a in of for b in range(a) if of[a] != of[b]}
+    # A large component meets the rows alone once and the other large one, not itself.
+    assert len(found) < 2240 * 6
+
+
+def test_links_that_no_leader_has_are_found(spark):
+    """Copies of copies drift away from the first text; rows of equal id and text are repeated."""
+    r, rows, words = random.Random(8), [], prose(17, 100).split()
+    for i in range(60):
+        rows.append((i, " ".join(words), "a"))
+        words = list(words)
+        words[r.randrange(len(words))] = f"w{i}"
+    rows += [rows[0]] * 30 + [rows[7]] * 30
+    found = odd_sketch.near_duplicates(frame(spark, rows), similarity=85).collect()
+    assert {x.component_id for x in found} == {0} and len(found) == len(rows)
+
+
 def test_rows_of_one_id_carry_the_links_of_each(spark):
     a, b = prose(91, 60), prose(92, 60)
     rows = [(1, a, "x"), (1, b, "x"), (2, b + " word", "x"), (3, a + " word", "x"), (4, prose(93, 60), "x"),
