@@ -81,7 +81,7 @@ def by_rule(
         urls = F.transform(hrefs, lambda h: resolve_url(root, F.regexp_replace(h, _OUTER_SPACE, "")))
         return let(F.filter(urls, allowed), _unique)
 
-    return let(_base(Selection(regions.nodes), base), found)
+    return let(_base(regions.whole_page(), base), found)
 
 
 def _base(page: Selection, url: Column) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagelarder.functions.lists import first, let
+from pagelarder.operators.shred import Reads
 
 Test = Callable[[Column], Column]
 
@@ -53,19 +54,30 @@ class Selection:
     `at` lists their positions; it is None for the page itself, whose children are the nodes
     without a parent and which has no attributes. Inside `map` and `within` a selection is one
     node, whose position `one` needs no list.
+
+    `reads` notes the attributes and classes that the steps from a page ask for, so that the
+    shredder can leave out the others. Whoever takes the bare `nodes` may read anything.
     """
 
-    def __init__(self, nodes: Column, at: Column | None = None, one: Column | None = None):
-        self.nodes = nodes
+    def __init__(
+        self, nodes: Column, at: Column | None = None, one: Column | None = None, reads: Reads | None = None
+    ):
+        self._nodes = nodes
+        self.reads = Reads() if reads is None else reads
         self.at = F.array(one) if one is not None and at is None else at
         self._one = one
 
+    @property
+    def nodes(self) -> Column:
+        self.reads.everything = True
+        return self._nodes
+
     # -- positions ---------------------------------------------------------------------
 
     def _find(self, test: Test, own: bool) -> Column:
         """Positions below (`own`: and at) the selected nodes that pass the test."""
         if self.at is None:
-            return F.filter(self.nodes, test)["pre"]
+            return F.filter(self._nodes, test)["pre"]
         return self._below(lambda p: F.filter(self._subtree(p, own), test)["pre"])
 
     def _below(self, step: Callable[[Column], Column]) -> Column:
@@ -83,7 +95,7 @@ class Selection:
         none = F.struct(F.lit(-1).alias("to"), F.array().cast("array<int>").alias("at"))
 
         def pick(seen: Column, p: Column) -> Column:
-            end = F.get(self.nodes, p)["end"]
+            end = F.get(self._nodes, p)["end"]
             grown = F.struct(end.alias("to"), F.concat(seen["at"], F.array(p)).alias("at"))
             return F.when(p > seen["to"], grown).otherwise(seen)
 
@@ -99,13 +111,17 @@ class Selection:
         return F.sort_array(F.array_distinct(F.flatten(F.transform(self.at, step))))
 
     def _subtree(self, position: Column, own: bool = True) -> Column:
-        size = F.get(self.nodes, position)["end"] - position
+        size = F.get(self._nodes, position)["end"] - position
         if own:
-            return F.slice(self.nodes, position + 1, size + 1)
-        return F.slice(self.nodes, position + 2, size)
+            return F.slice(self._nodes, position + 1, size + 1)
+        return F.slice(self._nodes, position + 2, size)
 
-    def _select(self, at: Column) -> Selection:
-        return Selection(self.nodes, at)
+    def pick(self, at: Column) -> Selection:
+        """The nodes at the given positions of the page."""
+        return Selection(self._nodes, at, reads=self.reads)
+
+    def whole_page(self) -> Selection:
+        return Selection(self._nodes, reads=self.reads)
 
     def _listed(self, step: str) -> Column:
         if self.at is None:
@@ -113,7 +129,7 @@ class Selection:
         return self.at
 
     def _keep(self, test: Test, step: str) -> Selection:
-        return self._select(F.filter(self._listed(step), lambda p: test(F.get(self.nodes, p))))
+        return self.pick(F.filter(self._listed(step), lambda p: test(F.get(self._nodes, p))))
 
     def _text_nodes(self, position: Column) -> Column:
         return F.filter(self._subtree(position, own=False), lambda n: n["kind"] == "t")
@@ -122,15 +138,18 @@ class Selection:
 
     def css(self, tag: str | None = None, token: str | None = None) -> Selection:
         """Elements with a class token, at or below the selected nodes."""
-        return self._select(self._find(_element(tag, token), own=True))
+        if token is not None:
+            self.reads.tokens.add(token)
+        return self.pick(self._find(_element(tag, token), own=True))
 
     def xclass(self, cls: str, tag: str | None = None) -> Selection:
         """Elements whose class attribute is exactly `cls`, below the selected nodes."""
-        return self._select(self._find(_element(tag, cls=cls), own=False))
+        self.reads.classes.add(cls)
+        return self.pick(self._find(_element(tag, cls=cls), own=False))
 
     def descendants(self, tag: str | tuple[str, ...] | None = None) -> Selection:
         """Elements below the selected nodes: with one of the tags, or all of them."""
-        return self._select(self._find(_element(tag), own=False))
+        return self.pick(self._find(_element(tag), own=False))
 
     def child(self, tag: str | None = None, nth: int | None = None) -> Selection:
         """Child elements; `nth` (from 1) counts per parent."""
@@ -143,17 +162,19 @@ class Selection:
             return found if nth is None else F.slice(found, nth, 1)
 
         if self.at is None:
-            found = F.filter(self.nodes, lambda n: (n["parent"] < 0) & test(n))["pre"]
-            return self._select(found if nth is None else F.slice(found, nth, 1))
-        return self._select(self._step(step))
+            found = F.filter(self._nodes, lambda n: (n["parent"] < 0) & test(n))["pre"]
+            return self.pick(found if nth is None else F.slice(found, nth, 1))
+        return self.pick(self._step(step))
 
     # -- tests on the selected nodes ---------------------------------------------------
 
     def where_attr(self, name: str, value: str) -> Selection:
+        self.reads.attrs.add(name)
         return self._keep(lambda n: n["attrs"][name] == value, "where_attr")
 
     def not_class(self, cls: str) -> Selection:
         """Nodes whose class attribute is missing or differs from `cls`."""
+        self.reads.classes.add(cls)
         return self._keep(lambda n: n["cls"].isNull() | (n["cls"] != cls), "not_class")
 
     # -- one result per node -----------------------------------------------------------
@@ -164,11 +185,11 @@ class Selection:
 
     def map(self, body: Callable[[Selection], Column]) -> Column:
         """Run `body` at each node; one value per node."""
-        return F.transform(self._listed("map"), lambda p: body(Selection(self.nodes, one=p)))
+        return F.transform(self._listed("map"), lambda p: body(Selection(self._nodes, one=p, reads=self.reads)))
 
     def head(self, at: Callable[[Column], Column]) -> Selection:
         """Reduce the list of nodes, for example to its first half."""
-        return self._select(at(self._listed("head")))
+        return self.pick(at(self._listed("head")))
 
     # -- values ------------------------------------------------------------------------
 
@@ -179,21 +200,22 @@ class Selection:
             return F.filter(self._text_nodes(p), lambda n: n["parent"] == p)
 
         if self.at is None:
-            return F.filter(self.nodes, lambda n: (n["kind"] == "t") & (n["parent"] < 0))["text"]
+            return F.filter(self._nodes, lambda n: (n["kind"] == "t") & (n["parent"] < 0))["text"]
         if self._one is not None:
             return step(self._one)["text"]
         at = self._step(lambda p: step(p)["pre"])
-        return F.transform(at, lambda p: F.get(self.nodes, p)["text"])
+        return F.transform(at, lambda p: F.get(self._nodes, p)["text"])
 
     def texts(self) -> Column:
         """Each text node anywhere below the selected nodes."""
         if self.at is None:
-            return F.filter(self.nodes, lambda n: n["kind"] == "t")["text"]
+            return F.filter(self._nodes, lambda n: n["kind"] == "t")["text"]
         return self._below(lambda p: self._text_nodes(p)["text"])
 
     def attr(self, name: str) -> Column:
         """The attribute of each selected node that has it."""
-        values = F.transform(self._listed("attr"), lambda p: F.get(self.nodes, p)["attrs"][name])
+        self.reads.attrs.add(name)
+        values = F.transform(self._listed("attr"), lambda p: F.get(self._nodes, p)["attrs"][name])
         return F.filter(values, lambda v: v.isNotNull())
 
     def string(self) -> Column:

@@ -18,6 +18,8 @@ import html as html_entities
 import re
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from functools import partial
 from itertools import accumulate
 
 import pyarrow as pa
@@ -99,16 +101,43 @@ _RANK = {
 }
 
 
+@dataclass
+class Reads:
+    """What selectors read of start tags: attributes, whole class attributes, class tokens.
+
+    The shredder emits nothing else, so it never crosses from Python to the JVM. A selection
+    notes here what its steps ask for; `everything` is for readers that can't tell.
+    """
+
+    attrs: set[str] = field(default_factory=set)
+    classes: set[str] = field(default_factory=set)
+    tokens: set[str] = field(default_factory=set)
+    everything: bool = False
+
+    def __or__(self, other: Reads) -> Reads:
+        return Reads(
+            self.attrs | other.attrs, self.classes | other.classes, self.tokens | other.tokens,
+            self.everything or other.everything,
+        )
+
+
+_ALL = Reads(everything=True)
+
+
 class _StartTag:
     """A start tag as written. Pages repeat few distinct ones, so they are parsed once."""
 
     __slots__ = ("tag", "cls", "classes", "attrs", "empty", "ends", "leaves_head", "raw_text")
 
-    def __init__(self, name: str, attrs: dict[str, str], self_closed: bool):
+    def __init__(self, name: str, attrs: dict[str, str], self_closed: bool, reads: Reads = _ALL):
         self.tag = tag = name.lower()
         self.cls = attrs.get("class")
         self.classes = [t for t in _CLASS_GAP.split(self.cls or "") if t]
         self.attrs = list(attrs.items())
+        if not reads.everything:
+            self.cls = self.cls if self.cls in reads.classes else None
+            self.classes = [t for t in self.classes if t in reads.tokens]
+            self.attrs = [(k, v) for k, v in self.attrs if k in reads.attrs]
         self.empty = self_closed or tag in _VOID
         self.ends = _ENDS.get(tag, ())
         self.leaves_head = tag not in _HEAD_CONTENT
@@ -117,7 +146,7 @@ class _StartTag:
         )
 
 
-def _start_tag(page: str, pos: int) -> tuple[_StartTag, int]:
+def _start_tag(page: str, pos: int, reads: Reads = _ALL) -> tuple[_StartTag, int]:
     """Parse the start tag whose name begins at `pos`; also gives the position after it."""
     name = _TAG_NAME.match(page, pos)
     attrs: dict[str, str] = {}
@@ -128,13 +157,14 @@ def _start_tag(page: str, pos: int) -> tuple[_StartTag, int]:
         attrs.setdefault(key.lower(), html_entities.unescape(value) if "&" in value else value)
         pos = match.end()
     rest = _TAG_END.match(page, pos)
-    return _StartTag(name[0], attrs, rest[0].endswith("/>")), rest.end()
+    return _StartTag(name[0], attrs, rest[0].endswith("/>"), reads), rest.end()
 
 
 class _Nodes:
     """Column buffers of the nodes of one output batch. Text nodes have no start tag."""
 
-    def __init__(self) -> None:
+    def __init__(self, reads: Reads = _ALL) -> None:
+        self.reads = reads
         self.sizes: list[int] = []
         self.end: list[int] = []
         self.parent: list[int] = []
@@ -211,7 +241,7 @@ class _Nodes:
                 written = page[at + 1 : after]
                 start = known.get(written)
                 if start is None:
-                    start, pos = _start_tag(page, at + 1)
+                    start, pos = _start_tag(page, at + 1, self.reads)
                     # A ">" inside quotes ends `written` early; such a tag is not remembered.
                     if pos == after:
                         known[written] = start
@@ -281,11 +311,11 @@ class _Nodes:
         return pa.ListArray.from_arrays(offsets(self.sizes), nodes)
 
 
-def _shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shred_batches(batches: Iterator[pa.RecordBatch], reads: Reads = _ALL) -> Iterator[pa.RecordBatch]:
     """Replace the last column (HTML text) by the node arrays; pass the others through."""
     for batch in batches:
         kept = batch.select(batch.schema.names[:-1])
-        nodes, start = _Nodes(), 0
+        nodes, start = _Nodes(reads), 0
         for row, page in enumerate(batch.column(batch.num_columns - 1)):
             nodes.add_page(page.as_py() or "")
             if len(nodes) >= _NODES_PER_BATCH or row == batch.num_rows - 1:
@@ -293,17 +323,20 @@ def _shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, nodes.to_arrow()], names=[*part.schema.names, "nodes"]
                 )
-                nodes, start = _Nodes(), row + 1
+                nodes, start = _Nodes(reads), row + 1
 
 
-def shred(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
+def shred(
+    pages: DataFrame, html: str = "html", keep: list[str] | None = None, reads: Reads = _ALL
+) -> DataFrame:
     """Replace the `html` column by `nodes`; a null text gives an empty array.
 
     Filters and column pruning do not pass through this step, so apply them before it: `keep`
-    names the columns to carry along (all by default).
+    names the columns to carry along (all by default). `reads` names the attributes and classes
+    that selectors will look at (all by default); the others are left out of the nodes.
     """
     keep = [c for c in pages.columns if c != html] if keep is None else keep
     schema = T.StructType(
         [*[pages.schema[c] for c in keep], T.StructField("nodes", NODES)]
     )
-    return pages.select(*keep, html).mapInArrow(_shred_batches, schema)
+    return pages.select(*keep, html).mapInArrow(partial(_shred_batches, reads=reads), schema)

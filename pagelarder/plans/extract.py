@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelarder.functions.unicode import nfkd_each
 from pagelarder.operators.links import unwrap_json_html
 from pagelarder.operators.select import page
-from pagelarder.operators.shred import shred
+from pagelarder.operators.shred import Reads, shred
 from pagelarder.sources.spec import JSON, JSON_HTML, SourceSpec, registered_sources
 
 
 # Record expressions name columns only, so one per source serves every table of a session.
 # Building one takes thousands of calls into the JVM, which is worth doing once.
-_RECORDS: dict[tuple[str, SourceSpec], Column] = {}
+# With each stands what its selectors read of start tags.
+_RECORDS: dict[tuple[str, SourceSpec], tuple[Column, Reads]] = {}
 
 
-def _record(application: str, spec: SourceSpec) -> Column:
+def _record(application: str, spec: SourceSpec) -> tuple[Column, Reads]:
     key = (application, spec)
     if key not in _RECORDS:
-        _RECORDS[key] = spec.record(page("nodes"))
+        nodes = page("nodes")
+        _RECORDS[key] = spec.record(nodes), nodes.reads
     return _RECORDS[key]
 
 
@@ -45,8 +50,10 @@ def extract(pages: DataFrame, specs: list[SourceSpec] | None = None) -> DataFram
     known = pages.filter(F.col("source").isin(*[s.name for s in specs]))
     keep = [c for c in known.columns if c != "html"]
     application = pages.sparkSession.sparkContext.applicationId
-    record = _per_source([(s.name, _record(application, s)) for s in specs])
-    extracted = shred(known, keep=keep).select(*keep, F.inline(F.array(record)))
+    records = [_record(application, s) for s in specs]
+    record = _per_source([(s.name, r) for s, (r, _) in zip(specs, records, strict=True)])
+    reads = reduce(or_, [r for _, r in records])
+    extracted = shred(known, keep=keep, reads=reads).select(*keep, F.inline(F.array(record)))
     decomposed = [s.name for s in specs if s.decompose]
     if decomposed:
         steps = nfkd_each(F.col("steps"), F.col("source").isin(*decomposed))
@@ -84,7 +91,7 @@ def find_links(
     urls = _per_source(
         [(s.name, s.links.find(nodes, F.col("body"), F.col("url"))) for s in specs]
     )
-    return shred(known, keep=[*keep, "body"]).select(
+    return shred(known, keep=[*keep, "body"], reads=nodes.reads).select(
         "page_id", "source", "category", *carry,
         F.col("url").alias("listing_url"),
         F.posexplode(urls).alias("pos", "url"),

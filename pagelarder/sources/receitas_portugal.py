@@ -43,7 +43,7 @@ def _first_layout(page: Selection, layouts: tuple) -> Column:
         return found
 
     at = first_non_empty(*[select(cls, steps).at for cls, steps in layouts])
-    return Selection(page.nodes, at).strings()
+    return page.pick(at).strings()
 
 
 def _parts(page: Selection) -> dict[str, Column]:

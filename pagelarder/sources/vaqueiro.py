@@ -41,7 +41,7 @@ def _parts(page: Selection) -> dict[str, Column]:
     preparation = page.xclass("preparation")
     instructions = page.xclass("instructions")
     whole = F.sort_array(F.concat(instructions.at, instructions.descendants().at))
-    text = Selection(page.nodes, F.array_distinct(whole)).not_class("title").string()
+    text = page.pick(F.array_distinct(whole)).not_class("title").string()
     return {
         "name": strip(first(page.xclass("recipe-title").text())),
         "info": head(page.xclass("additional-info").descendants("dd").text(), 3),

@@ -12,9 +12,12 @@ from pagelarder.operators.conform import recipes, rejects
 from pagelarder.operators.frontier import dedup_links, first_copies, is_listing, packed_order
 from pagelarder.operators.routing import discovered, fetch
 from pagelarder.plans.crawl import chosen_pages, listing_pages, run
+from pagelarder.operators.select import page
+from pagelarder.operators.shred import Reads, _Nodes, shred
 from pagelarder.plans.extract import extract
 from pagelarder.session import shared_folder
 from pagelarder.sources.pages import read_pages, save_snapshot
+from pagelarder.sources.spec import registered_sources
 from pagelarder.sources.url_index import read_url_index, save_url_index
 from tests.test_streaming import SAPO, SAPO_SITE, _files_read, _listing
 
@@ -155,3 +158,37 @@ def test_rounds_read_the_buckets_of_their_links(spark):
                                    "source string, page_start string, page_end string, category string")
     index = save_url_index(table, shared_folder(spark, "index"), 8)
     assert sorted(r.page_id for r in chosen_pages(table, wanted, index=index).collect()) == [50, 51, 52, 53]
+
+
+def test_only_what_selectors_read_leaves_the_shredder(stored):
+    """Attributes and classes no source asks for stay in Python, and records are the same."""
+    reads = Reads()
+    for spec in registered_sources():
+        nodes = page("nodes")
+        spec.record(nodes)
+        assert not nodes.reads.everything, spec.name
+        reads |= nodes.reads
+    whole, read = _Nodes(), _Nodes(reads)
+    for row in stored.where("html LIKE '<%'").limit(300).collect():
+        whole.add_page(row.html)
+        read.add_page(row.html)
+    assert len(whole) == len(read)
+    kept, all_of_it = (
+        sum(x.flatten().field(c).nbytes for c in ("cls", "classes", "attrs")) for x in (read.to_arrow(), whole.to_arrow())
+    )
+    print("bytes of attributes and classes:", kept, "of", all_of_it)
+    assert kept < 0.5 * all_of_it
+
+
+def test_selections_note_what_they_read(spark):
+    nodes = page("nodes")
+    nodes.css("div", "body").map(lambda b: b.child("a").attr("href"))
+    nodes.xclass("x y").where_attr("id", "1").not_class("z").head(lambda at: at).strings()
+    assert nodes.reads == Reads({"href", "id"}, {"x y", "z"}, {"body"})
+    df = spark.createDataFrame([('<p class="a b" id="1" href="2" title="3">t</p>',)], "html string")
+    node = shred(df, reads=nodes.reads | Reads(tokens={"b"})).first().nodes[0]
+    assert (node.tag, node.cls, node.classes, node.attrs) == ("p", None, ["b"], {"id": "1", "href": "2"})
+    # Whoever takes the bare nodes may look at anything.
+    assert nodes.nodes is not None and nodes.reads.everything
+    node = shred(df, reads=nodes.reads).first().nodes[0]
+    assert node.cls == "a b" and len(node.attrs) == 4
