@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from checks.render import SITES, runs, stored_pages
+from checks.render import PARTS, SITES, runs, stored_pages
 from pagelarder.operators.conform import recipes, rejects
 from pagelarder.operators.frontier import dedup_links, first_copies, is_listing, packed_order
 from pagelarder.operators.routing import discovered, fetch
@@ -36,6 +36,24 @@ def stored(spark):
     return read_pages(spark, stored_pages(spark, SF))
 
 
+def test_a_query_stores_the_parts_it_reads(spark):
+    """One site costs a site, in files that are packed well and that scans can split; then the rest."""
+    sf_dir = shared_folder(spark, "sf")
+    spark.range(0, 100, 1, 3).selectExpr(
+        "id AS doc_id", "'a<b\nc' AS text", "'pt' AS lang", "'s' AS source", "5L AS n_chars"
+    ).write.parquet(f"{sf_dir}/documents.parquet")
+
+    def parts(folder):
+        found = spark.read.parquet(folder).select("site", F.input_file_name().alias("file")).distinct()
+        return {r.site: r["count"] for r in found.groupBy("site").count().collect()}
+
+    folder = stored_pages(spark, sf_dir, ["vaqueiro"])
+    assert parts(folder) == {"vaqueiro": 3}  # the tasks that read the documents wrote the pages
+    assert all(".zstd." in name for name in spark.read.parquet(folder).inputFiles())
+    assert stored_pages(spark, sf_dir) == folder and parts(folder).keys() == set(PARTS)
+    assert read_pages(spark, folder).count() == 6 * 100 + 6 * 5
+
+
 def test_extraction_moves_nothing_and_parses_once(stored):
     extracted = extract(stored.withColumn("source", F.lit("pingo_doce")))
     for df in (recipes(extracted), rejects(extracted), extracted.filter("name = 'x'")):
