@@ -122,3 +122,15 @@ def test_names_and_union(records):
     assert "porção" in renamed.columns and "servings" not in renamed.columns
     assert from_feed_names(renamed).columns == records.columns
     assert combine(records, records.select(*reversed(records.columns))).count() == 6
+
+
+def test_compressed_files_are_read_and_counted(spark, records):
+    folder, root = shared_folder(spark, "feed"), shared_folder(spark, "parts")
+    write_recipes(records, folder, compression="gzip")
+    write_job_part(records, root, "p", 2, 1, "gzip")
+    back, named = read_recipes(spark, folder), read_manifest(spark, root, "p", 2, 1, 1).where("file is not null")
+    assert sorted(back.collect(), key=str) == sorted(records.collect(), key=str)
+    assert all(f.endswith(".gz") for f in spark.read.text(folder).inputFiles())
+    assert [(r.file[-3:], r.lines) for r in named.collect()] == [(".gz", 3)]
+    assert read_committed_parts(spark, root, "p", 2, 1, 1).count() == 3
+    assert damaged_parts(spark, root, "p", 2, 1, 1).count() == 0
