@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagelarder.operators.conform import recipes, rejects
-from pagelarder.operators.routing import route
+from pagelarder.operators.routing import fetch, route
 from pagelarder.plans.crawl import chosen_pages, run
 from pagelarder.plans.extract import extract
 from pagelarder.session import shared_folder
+from pagelarder.streaming import incremental
 from pagelarder.streaming.incremental import (
     append_batch,
     compact,
@@ -50,6 +51,25 @@ FIRST = [
 SECOND = [(6, P + "a", SAPO), (7, P + "lost", PINGO), (8, "https://lifestyle.sapo.pt/sabores/receitas/x", SAPO)]
 
 
+def test_a_batch_moves_bodies_of_the_kind_it_looks_for(spark, landing, monkeypatch):
+    folder, land = landing
+    ahead = [(page_id + 100, url, html) for page_id, url, html in (SEQUENCE[0], *SEQUENCE[4:])]
+    land(*FIRST, *ahead)
+    given = []
+
+    def spy(pages, chosen):
+        given.append({r.kind for r in route(pages.select("url")).select("kind").distinct().collect()})
+        return fetch(pages, chosen)
+
+    monkeypatch.setattr(incremental, "fetch", spy)
+    out = shared_folder(spark, "out")
+    append_batch(spark.read.parquet(folder), out)
+    monkeypatch.undo()
+    assert {"recipe"} in given and {"other"} in given and all(len(kinds) == 1 for kinds in given)
+    assert {r.url for r in read_done(spark, out).collect()} >= {P + "a", POST % 1, POST % 5}
+    assert all(".zstd." in name for name in open_state(spark, out).read("done").inputFiles())
+
+
 def test_incremental_runs(spark, landing):
     folder, land = landing
     out, checkpoint = shared_folder(spark, "out"), shared_folder(spark, "checkpoint")
