@@ -117,6 +117,29 @@ def test_bucketed_snapshot_is_joined_in_place(spark, stored):
     assert "PartitionFilters: [isnotnull(kind" in listing
 
 
+def test_a_snapshot_written_in_place_is_hashed_by_ids(spark):
+    """Bodies are neither moved to be stored nor moved or sorted to be picked, by Spark's own settings."""
+    table = "snapshot_" + shared_folder(spark, "t").rsplit("-", 1)[-1]
+    pages = spark.range(0, 90, 1, 3).selectExpr(
+        "id AS page_id", "concat('https://www.pingodoce.pt/receitas/r', id) AS url", "concat('<p>', id) AS html"
+    )
+    save_snapshot(pages, table, buckets=2, distribute=False, compression="zstd")
+    snapshot = spark.table(table)
+    assert len(snapshot.inputFiles()) == 3 * 2  # tasks times buckets
+    chosen = spark.createDataFrame([(n, "r") for n in range(0, 90, 2)], "page_id long, run_id string").repartition(3)
+    key = "spark.sql.join.preferSortMergeJoin"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        with no_size_based_broadcast(spark):
+            picked = fetch(snapshot, chosen)
+            assert "ShuffledHashJoin" in plan(picked) and "Sort" not in plan(picked)
+            assert plan(picked).count("Arguments: hashpartitioning(page_id") == 1  # the ids
+            assert {(r.page_id, r.html) for r in picked.collect()} == {(n, f"<p>{n}") for n in range(0, 90, 2)}
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_a_run_on_a_snapshot_gives_the_same_records(spark, stored):
     table = "snapshot_" + shared_folder(spark, "t").rsplit("-", 1)[-1]
     save_snapshot(stored, table, buckets=3)
