@@ -134,3 +134,20 @@ def test_sets_from_many_nodes(spark, nested):
     row = query.first()
     assert row.a == [str(i) for i in range(n)] and row.b == (n - 1 if nested else 0)
     assert time.monotonic() - start < 3
+
+
+def test_steps_from_a_node_do_not_gather_its_nodes(spark):
+    """Steps go by positions; `slice` would make an array of the nodes of every subtree."""
+    items = page().css("li", "x")
+    columns = [
+        items.map(lambda li: first(li.css("b", "y").text())),
+        items.map(lambda li: F.concat(*[F.size(li.descendants(t).at) for t in ("b", ("b", "i"))])),
+        items.child("b").text(), items.strings(), items.texts(), items.map(lambda li: li.string()),
+    ]
+    html = "".join(f'<li class="x">{i}<b class="y">b{i}</b><i></i>' for i in range(3)) + '<li class="x">'
+    df = shred(spark.createDataFrame([(html,)], "html string")).select(*columns)
+    assert tuple(df.first()) == (
+        ["b0", "b1", "b2", None], ["12", "12", "12", "00"], ["b0", "b1", "b2"],
+        ["0b0", "1b1", "2b2", ""], ["0", "b0", "1", "b1", "2", "b2"], ["0b0", "1b1", "2b2", ""],
+    )
+    assert "slice(nodes" not in df._jdf.queryExecution().optimizedPlan().toString()
