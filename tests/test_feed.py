@@ -1,6 +1,7 @@
 """The JSON Lines feed."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,3 +135,22 @@ def test_compressed_files_are_read_and_counted(spark, records):
     assert [(r.file[-3:], r.lines) for r in named.collect()] == [(".gz", 3)]
     assert read_committed_parts(spark, root, "p", 2, 1, 1).count() == 3
     assert damaged_parts(spark, root, "p", 2, 1, 1).count() == 0
+
+
+def shuffle_files(spark) -> int:
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(blocks.apply(i).getName().startswith("shuffle_") for i in range(blocks.size()))
+
+
+def test_a_compact_feed_moves_no_lines(spark, records):
+    """Ten small tasks give one file per source, without a shuffle, and nothing is left beside the feed."""
+    folder, many = shared_folder(spark, "feed"), records.union(records).repartition(10).cache()
+    many.count()
+    before = shuffle_files(spark)
+    write_recipes(many, folder)
+    assert shuffle_files(spark) <= before
+    files = [f.rsplit("/", 2)[1] for f in spark.read.text(folder).inputFiles()]
+    assert len(files) <= 4 * 3 and set(files) == {f"source={s}" for s in ("pingo_doce", "teleculinaria", "sapo_sabores")}
+    assert sorted(read_recipes(spark, folder).collect(), key=str) == sorted(many.collect(), key=str)
+    assert not [p for p in Path(folder).parent.iterdir() if p.name.startswith(Path(folder).name + ".")]
+    many.unpersist()
