@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import record_queries, render
 from checks.render import PARTS, SITES, runs, stored_pages
 from pagelarder.operators.conform import recipes, rejects
 from pagelarder.operators.frontier import dedup_links, first_copies, is_listing, packed_order
@@ -54,6 +55,23 @@ def test_a_query_stores_the_parts_it_reads(spark):
     assert read_pages(spark, folder).count() == 6 * 100 + 6 * 5
 
 
+def _small_tables(spark) -> str:
+    sf_dir = shared_folder(spark, "sf")
+    spark.range(0, 20, 1, 2).selectExpr(
+        "id AS doc_id", "concat('x', id, '\n', 'y') AS text", "'pt' AS lang", "'s' AS source", "5L AS n_chars"
+    ).write.parquet(f"{sf_dir}/documents.parquet")
+    return sf_dir
+
+
+def test_records_of_all_sites_need_no_stored_pages(spark):
+    sf_dir = _small_tables(spark)
+    found = record_queries.conformed_records(spark, sf_dir)
+    assert found.count() > 20 and (spark.sparkContext.applicationId, sf_dir) not in render._STORED
+    pages = record_queries.all_pages(spark, sf_dir)
+    stored = [record_queries.site_pages(spark, sf_dir, s) for s in SITES]
+    assert sorted(pages.collect()) == sorted(r for part in stored for r in part.collect())
+
+
 def test_extraction_moves_nothing_and_parses_once(stored):
     extracted = extract(stored.withColumn("source", F.lit("pingo_doce")))
     for df in (recipes(extracted), rejects(extracted), extracted.filter("name = 'x'")):
