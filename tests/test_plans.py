@@ -72,6 +72,12 @@ def test_records_of_all_sites_need_no_stored_pages(spark):
     assert sorted(pages.collect()) == sorted(r for part in stored for r in part.collect())
 
 
+def test_job_parts_need_no_stored_pages(spark):
+    sf_dir = _small_tables(spark)
+    assert record_queries.committed_parts(spark, sf_dir).count() > 0
+    assert (spark.sparkContext.applicationId, sf_dir) not in render._STORED
+
+
 def test_extraction_moves_nothing_and_parses_once(stored):
     extracted = extract(stored.withColumn("source", F.lit("pingo_doce")))
     for df in (recipes(extracted), rejects(extracted), extracted.filter("name = 'x'")):
