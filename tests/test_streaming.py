@@ -1,6 +1,7 @@
 """Incremental runs: the same rows as a batch, nothing twice, late copies skipped."""
 
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,10 @@ from pagelarder.plans.crawl import chosen_pages, run
 from pagelarder.plans.extract import extract
 from pagelarder.session import shared_folder
 from pagelarder.streaming import incremental
+from pagelarder.schema import RECIPES
 from pagelarder.streaming.incremental import (
+    _packed,
+    _unpacked,
     append_batch,
     compact,
     distinct_urls,
@@ -24,6 +28,7 @@ from pagelarder.streaming.incremental import (
     start_incremental,
 )
 from pagelarder.streaming.state import State
+from tests.test_feed import shuffle_files
 from tests.test_sources import INTENSO, PINGO, PORTUGAL, SAPO, VAQUEIRO
 
 LOST = PINGO.replace("instruction-body", "q")
@@ -301,3 +306,30 @@ def test_bounded_duplicate_filter(spark):
         [f"http://x/{i}" for i in range(30)] + ["http://x/new"]
     )
     assert states[1] < states[0] and max(states) <= 31
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def test_a_batch_leaves_no_shuffle_files_and_done_is_read_without_moving(spark):
+    out, setting = shared_folder(spark, "out"), spark.conf.get(CLEANUP)
+    batch = spark.createDataFrame([*FIRST, *SEQUENCE], "page_id long, url string, html string")
+    before = shuffle_files(spark)
+    append_batch(batch, out, until_empty=False)
+    compact(spark, out)
+    assert shuffle_files(spark) <= before and spark.conf.get(CLEANUP) == setting
+    done = read_done(spark, out)
+    assert "Exchange" not in done._jdf.queryExecution().toString()
+    assert {r.url for r in recipes(done).collect()} >= {P + "a", POST % 1}
+
+
+def test_lists_of_done_are_stored_as_one_text_and_read_as_they_were(spark):
+    empty = {f.name: None for f in RECIPES}
+    lists = [(["a", None, "é\n\u0001"], [], ["x" * 21_000_000]), (None, ["q"], []), (None, None, None)]
+    rows = [empty | dict(zip(("ingredients", "quantities", "steps"), row, strict=True)) for row in lists]
+    table = spark.createDataFrame([tuple(r.values()) for r in rows], RECIPES).select("ingredients", "quantities", "steps")
+    packed = _packed(table)
+    assert packed.where("ingredients IS NULL AND quantities IS NULL AND steps IS NULL").count() == 3
+    assert [tuple(r) for r in _unpacked(packed).collect()] == lists
+    # Rows that an earlier version has stored have their lists in columns.
+    assert [tuple(r) for r in _unpacked(table.withColumn("lists", F.lit(None).cast("string"))).collect()] == lists
