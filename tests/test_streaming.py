@@ -333,3 +333,22 @@ def test_lists_of_done_are_stored_as_one_text_and_read_as_they_were(spark):
     assert [tuple(r) for r in _unpacked(packed).collect()] == lists
     # Rows that an earlier version has stored have their lists in columns.
     assert [tuple(r) for r in _unpacked(table.withColumn("lists", F.lit(None).cast("string"))).collect()] == lists
+
+
+def test_compaction_leaves_records_alone_if_none_came(spark):
+    out = shared_folder(spark, "out")
+
+    def batch(*rows):
+        append_batch(spark.createDataFrame(rows, "page_id long, url string, html string"), out, buckets=2)
+        compact(spark, out)
+        return open_state(spark, out).path("done").rsplit("-", 1)[-1], {r.url for r in recipes(read_done(spark, out)).collect()}
+
+    def kept():
+        return sorted(p.name for p in (Path(out) / "done").iterdir() if p.name.startswith("generation"))
+
+    assert batch(FIRST[0], FIRST[1]) == ("1", {P + "a"})
+    assert batch((90, SAPO_SITE + "/sabores/receitas/x", SAPO)) == ("2", {P + "a", SAPO_SITE + "/sabores/receitas/x"})
+    assert kept() == ["generation-1", "generation-2"]
+    assert batch((91, "http://nowhere/", SAPO)) == ("2", {P + "a", SAPO_SITE + "/sabores/receitas/x"})
+    assert kept() == ["generation-2"]
+    assert batch((92, P + "b", PINGO))[0] == "3" and kept() == ["generation-2", "generation-3"]
