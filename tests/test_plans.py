@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import record_queries, render
 from checks.render import PARTS, SITES, runs, stored_pages
 from pagelarder.operators.conform import recipes, rejects
-from pagelarder.operators.frontier import dedup_links, first_copies, is_listing, packed_order
+from pagelarder.operators.frontier import dedup_links, delta, first_copies, is_listing, packed_order
 from pagelarder.operators.routing import discovered, fetch
 from pagelarder.plans.crawl import chosen_pages, listing_pages, run
 from pagelarder.operators.select import page
@@ -257,3 +257,18 @@ def test_selections_note_what_they_read(spark):
     assert nodes.nodes is not None and nodes.reads.everything
     node = shred(df, reads=nodes.reads).first().nodes[0]
     assert node.cls == "a b" and len(node.attrs) == 4
+
+
+def test_earlier_records_do_not_pass_through_the_driver(spark):
+    """A table that is small as a file can hold many records: six URLs for each row here."""
+    done = spark.range(1000).select(F.explode(F.array(*[F.concat(F.lit(f"http://x{n}/"), "id") for n in range(6)])).alias("url"))
+    links = spark.createDataFrame([("http://x1/7",), ("http://x1/no",), (None,)], "url_key string")
+    left = delta(links, done, enabled=True)
+    assert "Broadcast" not in plan(left) and "SortMergeJoin" in plan(left)
+    assert {r.url_key for r in left.collect()} == {"http://x1/no", None}
+
+
+def test_pages_of_long_ranges_do_not_pass_through_the_driver(spark, stored):
+    found = listing_pages(stored, runs(spark, SF))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") >= 2
+    assert found.count() > 0
